@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import curriculum, hash_ring
+from tidemark.llm import curriculum, hash_ring, token_records, word_bpe
 
 
 def queries() -> dict:
     return {
+        "op4_token_records": token_records.op4_token_records,
         "op5_sharding": hash_ring.op5_sharding,
         "op6_mixing": curriculum.op6_mixing,
+        "op8_byte_bpe": word_bpe.op8_byte_bpe,
     }
 
 
