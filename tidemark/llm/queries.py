@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import curriculum, hash_ring, token_records, word_bpe
+from tidemark.llm import curriculum, hash_ring, simhash_trie, token_records, word_bpe
 
 
 def queries() -> dict:
     return {
+        "op2_simhash": simhash_trie.op2_simhash,
         "op4_token_records": token_records.op4_token_records,
         "op5_sharding": hash_ring.op5_sharding,
         "op6_mixing": curriculum.op6_mixing,
