@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import curriculum, hash_ring, simhash_trie, token_records, word_bpe
+from tidemark.llm import curriculum, hash_ring, simhash_trie, suffix_dedup, token_records, word_bpe
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op4_token_records": token_records.op4_token_records,
         "op5_sharding": hash_ring.op5_sharding,
         "op6_mixing": curriculum.op6_mixing,
+        "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
         "op8_byte_bpe": word_bpe.op8_byte_bpe,
     }
 
