@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import curriculum, hash_ring, simhash_trie, suffix_dedup, token_records, word_bpe
+from tidemark.llm import curriculum, hash_ring, quality_mil, simhash_trie, suffix_dedup, token_records, vptree, word_bpe
 
 
 def queries() -> dict:
     return {
+        "op1_quality": quality_mil.op1_quality,
         "op2_simhash": simhash_trie.op2_simhash,
+        "op3_neighbours": vptree.op3_neighbours,
         "op4_token_records": token_records.op4_token_records,
         "op5_sharding": hash_ring.op5_sharding,
         "op6_mixing": curriculum.op6_mixing,
@@ -17,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": curriculum.ORACLE}
+    return {"op3_neighbours": vptree.ORACLE, "op6_mixing": curriculum.ORACLE}
