@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import curriculum, hash_ring, quality_mil, simhash_trie, suffix_dedup, token_records, vptree, word_bpe
+from tidemark.llm import curriculum, hash_ring, jpeg_media, quality_mil, simhash_trie, suffix_dedup, token_records, token_spans, vptree, word_bpe
 
 
 def queries() -> dict:
@@ -15,6 +15,8 @@ def queries() -> dict:
         "op6_mixing": curriculum.op6_mixing,
         "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
         "op8_byte_bpe": word_bpe.op8_byte_bpe,
+        "op9_token_spans": token_spans.op9_token_spans,
+        "op10_media": jpeg_media.op10_media,
     }
 
 
