@@ -1,8 +1,88 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: quality, near-duplicates, repeated passages, mixing, tokens.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
+kept; all but the last return the columns of ``docs``.  Columns that are named
+like an operator's own results pass through unharmed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import curriculum, quality_mil, simhash_trie, suffix_dedup, word_bpe
+from tidemark.shared import materialize
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    model = quality_mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality_mil.score_documents(docs, model, name="__score")
+    return scored.where(F.col("__score") >= quality_mil.CUTOFF).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by near-equal fingerprints, the one of smallest doc_id stays."""
+    linked = simhash_trie.link_documents(docs, carry=[F.struct(*docs.columns).alias("__whole")])
+    return linked.where("first").select("__whole.*")
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document (or place) has go, in whole characters; documents of which nothing is left go too."""
+    others = [c for c in docs.columns if c != "text"]
+    found = suffix_dedup.find_repeats(docs, carry=[F.struct(*others).alias("__rest")]).select("__rest", "__text", "__ranges")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if spans := suffix_dedup.spans_of(ranges):
+                    raw = text.encode()
+                    text = suffix_dedup.keep_bytes(raw, suffix_dedup.to_characters(raw, spans)).decode()
+                out.append(text)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), batch.column(2).is_valid()], ["__rest", "__text", "__cut"])
+
+    rest = found.schema["__rest"].dataType.simpleString()
+    kept = found.mapInArrow(cut, f"__rest {rest}, __text string, __cut boolean").where("not __cut or __text <> ''")
+    columns = [F.col("__text").alias(c) if c == "text" else F.col("__rest")[c].alias(c) for c in docs.columns]
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        columns[docs.columns.index("n_chars")] = F.when(F.col("__cut"), F.length("__text").cast(kind)).otherwise(F.col("__rest")["n_chars"]).alias("n_chars")
+    return kept.select(*columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time the mix takes a document, in training order."""
+    slim = docs.select("doc_id", "source", curriculum.word_count(F.col("text")).alias("size"), F.struct(*docs.columns).alias("__whole"))
+    return curriculum.schedule(curriculum.mix(slim)).select("__whole.*")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the digest of what they decode to."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return word_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, ["doc_id", "n_tokens", "tokens", "ids_sha256", "decoded_sha256"])
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeats", repeats),
+    ("mixing", mixing),
+    ("tokens", tokens),
+]
+
+#: The classifier, the linking of fingerprints and the suffix arrays are not expressible in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each is written as Parquet and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

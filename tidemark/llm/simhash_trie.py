@@ -60,7 +60,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found)], [*batch.schema.names[1:], "fp"])
 
 
-def with_fingerprints(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+def with_fingerprints(docs: DataFrame, text: str, keep: list) -> DataFrame:
     """The columns ``keep`` and ``fp`` (long, the fingerprint's bits)."""
     bound_batches(docs.sparkSession)
     chosen = docs.select(F.col(text).cast("string").alias("__text"), *keep)
@@ -174,9 +174,9 @@ def links(fps: DataFrame, budget: int = 3, hot: int = 20_000) -> DataFrame:
     return dealt.mapInArrow(_joiner(budget), "a long, b long")
 
 
-def link_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+def link_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list | None = None) -> DataFrame:
     """doc_id, the columns ``carry``, fp, component_id and ``first``: true for one document of each component, that of the smallest doc_id."""
-    carry = carry or []
+    carry = [F.col(c) if isinstance(c, str) else c for c in carry or []]
     slim = with_fingerprints(docs, text, [F.col(doc_id).cast("long").alias("__doc"), *carry])
     base = materialize(slim.withColumn("__row", F.monotonically_increasing_id()), "simhash")
     mine = F.struct(F.col("__doc").isNull().alias("none"), F.col("__doc").alias("doc"), F.col("__row").alias("row"))
@@ -186,7 +186,7 @@ def link_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     components = placed.groupBy("root").agg(F.min("least").alias("best"))
     of = placed.select("fp", "root").join(components, "root").select("fp", F.col("best.doc").alias("component_id"), F.col("best.row").alias("best_row"))
     joined = base.join(of, "fp").withColumn("first", F.col("__row") == F.col("best_row"))
-    return joined.select(F.col("__doc").alias("doc_id"), *[c for c in carry if c != "doc_id"], "fp", "component_id", "first")
+    return joined.select(F.col("__doc").alias("doc_id"), *[c for c in base.columns if c not in ("__doc", "__row", "fp")], "fp", "component_id", "first")
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

@@ -413,7 +413,7 @@ def _release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def find_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+def find_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list | None = None) -> DataFrame:
     """``__doc`` (doc_id), the columns ``carry``, ``__text``, and ``__ranges``: array<struct<first, last>> of repeated starts, or null."""
     spark = docs.sparkSession
     bound_batches(spark)

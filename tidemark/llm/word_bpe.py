@@ -39,7 +39,7 @@ _CHUNK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.
 CHUNK_DDL = "chunk long, bucket int, words binary, doc_ids array<long>, counts array<int>, places binary"
 _IDS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary()), ("lengths", pa.binary())])
 IDS_DDL = "chunk long, bucket int, ids binary, lengths binary"
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("decoded", pa.binary())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("tokens", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("decoded", pa.binary())])
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -150,8 +150,12 @@ def assembler(ranks_path: str, columns: list[str]):
                 at += n
                 out["doc_id"].append(doc_id)
                 out["n_tokens"].append(int(lengths[where].sum()))
-                if "ids" in out:
-                    out["ids"].append(b"".join([binary[i] for i in own]))
+                if "ids" in out or "tokens" in out:
+                    whole = b"".join([binary[i] for i in own])
+                    if "ids" in out:
+                        out["ids"].append(whole)
+                    if "tokens" in out:
+                        out["tokens"].append(np.frombuffer(whole, "<i4"))
                 if "ids_sha256" in out:
                     out["ids_sha256"].append(sha256(b" ".join([decimal[i] for i in own])).hexdigest())
                 if "decoded_sha256" in out or "decoded" in out:
@@ -166,7 +170,7 @@ def assembler(ranks_path: str, columns: list[str]):
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, columns=("doc_id", "n_tokens", "ids"), buckets: int | None = None) -> DataFrame:
-    """One row per document with the asked columns: doc_id, n_tokens, ids (little-endian unsigned 32-bit), decoded, ids_sha256, decoded_sha256."""
+    """One row per document with the asked columns: doc_id, n_tokens, ids (little-endian unsigned 32-bit), tokens (the same as a list), decoded, ids_sha256, decoded_sha256."""
     spark = docs.sparkSession
     bound_batches(spark)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -175,7 +179,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, columns=("d
     words = chunks.where("bucket is not null").select("chunk", "bucket", "words").repartition("bucket")
     ids = words.mapInArrow(word_encoder(ranks_path, pattern), IDS_DDL)
     columns = list(dict.fromkeys(["doc_id", "n_tokens", *columns]))
-    kinds = {"doc_id": "long", "n_tokens": "long", "ids": "binary", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "binary"}
+    kinds = {"doc_id": "long", "n_tokens": "long", "ids": "binary", "tokens": "array<int>", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "binary"}
     held = chunks.where("bucket is null").select("chunk", "doc_ids", "counts", "places")
     return held.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(assembler(ranks_path, columns), ", ".join(f"{c} {kinds[c]}" for c in columns))
 
