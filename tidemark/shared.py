@@ -37,6 +37,14 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """The same as a table bucketed by ``key``: a later join or cogroup on it does not shuffle this side."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.bucketBy(buckets, key).option("compression", "zstd").option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`materialize` once nothing reads it any more."""
     spark = df.sparkSession
