@@ -16,7 +16,7 @@ it come from a second window over one row per (source, cell).
 Edge cases: null text has size 0; a null source is a source, and the last one;
 sources or documents of size 0 get target 0 and take nothing; repeated rows are
 documents of their own (a row number tells them apart); an empty table gives an
-empty table; other columns stay with their rows.
+empty table; other columns stay with their rows, but those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -85,6 +85,7 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, epochs: int = 2,
     ``docs`` needs doc_id, source and either ``size`` or ``text``.  Rows of equal
     doc_id are ordered by size, then arbitrarily.
     """
+    docs = docs.drop("source_size", "target", "taken", "positions")
     if "size" not in docs.columns:
         docs = docs.withColumn("size", word_count(F.col("text")))
     hashed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
@@ -95,18 +96,18 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, epochs: int = 2,
     starts = (
         per_cell.withColumn("__from", F.coalesce(F.sum("__words").over(before), F.lit(0)))
         .join(aims.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-        .select(F.col("source").alias("__source"), F.col("__cell").alias("__c"), "__from", "source_size", "ordinal", "target")
+        .select(F.col("source").alias("__source"), F.col("__cell").alias("__c"), "__from", "source_size", F.col("ordinal").alias("__ordinal"), "target")
     )
     within = Window.partitionBy("source", "__cell").orderBy("__h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("__start", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = placed.join(starts, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__cell") == F.col("__c")))
     placed = placed.withColumn("__start", F.col("__start") + F.col("__from")).withColumn("__aim", F.round("target").cast("long"))
     parts = [F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("__aim") - F.col("__start") - e * F.col("source_size"))) for e in range(epochs)]
-    when = [F.when(p > 0, due((F.col("__start") + e * F.col("source_size")) / F.col("target"), F.col("ordinal"), schedules)) for e, p in enumerate(parts)]
+    when = [F.when(p > 0, due((F.col("__start") + e * F.col("source_size")) / F.col("target"), F.col("__ordinal"), schedules)) for e, p in enumerate(parts)]
     return (
         placed.withColumn("taken", sum(parts[1:], parts[0]))
         .withColumn("positions", F.filter(F.array(*when), lambda x: x.isNotNull()))
-        .drop("__h", "__cell", "__start", "__source", "__c", "__from", "__aim", "ordinal")
+        .drop("__h", "__cell", "__start", "__source", "__c", "__from", "__aim", "__ordinal")
     )
 
 

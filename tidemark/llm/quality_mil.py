@@ -70,12 +70,13 @@ def features(data: bytes, sizes: np.ndarray) -> np.ndarray:
     share = 1.0 / np.maximum(sizes, 1)[:, None]
     out[:, :N_FINE] = np.sqrt(np.bincount(of * N_FINE + FINE[text], minlength=m * N_FINE).reshape(m, N_FINE) * share)
     coarse = COARSE[text]
-    pair = of[:-1] * 64 + coarse[:-1] * 8 + coarse[1:]
+    pair = (of[:-1] * 64 + coarse[:-1] * 8 + coarse[1:])[of[:-1] == of[1:]]  # within a passage
     out[:, N_FINE : N_FINE + 64] = np.sqrt(np.bincount(pair, minlength=m * 64).reshape(m, 64) * share)
     wide = text.astype(np.uint32)
     tri = ((wide[:-2] * np.uint32(0x9E3779B1)) ^ (wide[1:-1] * np.uint32(0x85EBCA6B)) ^ (wide[2:] * np.uint32(0xC2B2AE35))) >> np.uint32(25)
     at = N_FINE + 64
-    out[:, at : at + TRIGRAMS] = np.sqrt(np.bincount(of[:-2] * TRIGRAMS + tri, minlength=m * TRIGRAMS).reshape(m, TRIGRAMS) * share)
+    inner = of[:-2] == of[2:]
+    out[:, at : at + TRIGRAMS] = np.sqrt(np.bincount((of[:-2] * TRIGRAMS + tri)[inner], minlength=m * TRIGRAMS).reshape(m, TRIGRAMS) * share)
     at += TRIGRAMS
     space = (text == 32) | ((text >= 9) & (text <= 13))
     begins = ~space
@@ -190,7 +191,8 @@ def score_texts(model: dict[str, np.ndarray] | None, texts: list[str | None]) ->
     edges, of = np.cumsum(counts) - counts, np.repeat(np.arange(len(texts)), counts)
     a = np.exp(e - np.maximum.reduceat(e, edges)[of])
     a /= np.add.reduceat(a, edges)[of]
-    return 1 / (1 + np.exp(-(np.add.reduceat(a[:, None] * h, edges, axis=0) @ model["c"] + model["c0"][0])))
+    # rounded, as the last bits of a matrix product depend on the other rows
+    return np.round(1 / (1 + np.exp(-(np.add.reduceat(a[:, None] * h, edges, axis=0) @ model["c"] + model["c0"][0]))), 9)
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
