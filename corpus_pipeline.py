@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import curriculum, quality_mil, simhash_trie, suffix_dedup, word_bpe
 from tidemark.shared import materialize
@@ -45,8 +46,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                 out.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), batch.column(2).is_valid()], ["__rest", "__text", "__cut"])
 
-    rest = found.schema["__rest"].dataType.simpleString()
-    kept = found.mapInArrow(cut, f"__rest {rest}, __text string, __cut boolean").where("not __cut or __text <> ''")
+    schema = T.StructType([found.schema["__rest"], T.StructField("__text", T.StringType()), T.StructField("__cut", T.BooleanType())])
+    kept = found.mapInArrow(cut, schema).where("not __cut or __text <> ''")
     columns = [F.col("__text").alias(c) if c == "text" else F.col("__rest")[c].alias(c) for c in docs.columns]
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.shared import bound_batches
 
@@ -402,8 +403,7 @@ def media_column(docs: DataFrame, text: str = "text", keep: tuple = ("doc_id",))
             media = store([pad(r) for r in raw], sizes)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], [*batch.schema.names[1:], "n_bytes", "media"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[1:])
-    return chosen.mapInArrow(write, f"{fields}, n_bytes long, media binary")
+    return chosen.mapInArrow(write, T.StructType([*chosen.schema.fields[1:], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())]))
 
 
 _FEATURES = pa.schema([("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("width", pa.int32()), ("height", pa.int64()), ("feature", pa.string())])
@@ -445,9 +445,8 @@ def media_features(media: DataFrame) -> DataFrame:
             rest = [batch.column(k) for k in range(batch.num_columns) if k != at]
             yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, f.type) for c, f in zip(columns, _FEATURES, strict=True))], [*names, *_FEATURES.names])
 
-    kinds = {f.name: f.dataType.simpleString() for f in media.schema}
-    fields = ", ".join(f"`{c}` {kinds[c]}" for c in names)
-    return media.mapInArrow(look, f"{fields}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, width int, height long, feature string")
+    features = T.StructType.fromDDL("payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, width int, height long, feature string")
+    return media.mapInArrow(look, T.StructType([*(media.schema[c] for c in names), *features.fields]))
 
 
 def op10_media(spark, sf_dir: str) -> DataFrame:

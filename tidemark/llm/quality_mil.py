@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.shared import bound_batches
 
@@ -232,8 +233,7 @@ def score_documents(docs: DataFrame, model: dict[str, np.ndarray] | None, text:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score_texts(model, batch.column(at).to_pylist()))], [*kept, name])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema)
-    return asked.mapInArrow(score, f"{fields}, `{name}` double")
+    return asked.mapInArrow(score, T.StructType([*asked.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.components import connected, local_roots
 from tidemark.shared import bound_batches, materialize
@@ -64,8 +65,7 @@ def with_fingerprints(docs: DataFrame, text: str, keep: list) -> DataFrame:
     """The columns ``keep`` and ``fp`` (long, the fingerprint's bits)."""
     bound_batches(docs.sparkSession)
     chosen = docs.select(F.col(text).cast("string").alias("__text"), *keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[1:])
-    return chosen.mapInArrow(_fingerprints, f"{schema}, fp long")
+    return chosen.mapInArrow(_fingerprints, T.StructType([*chosen.schema.fields[1:], T.StructField("fp", T.LongType())]))
 
 
 def trie_links(fps: np.ndarray, groups: np.ndarray, budget: int = 3) -> tuple[np.ndarray, np.ndarray]:
