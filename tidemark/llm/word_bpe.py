@@ -10,6 +10,9 @@
 3. ``reassemble``: the ids come back to the chunk, are lined up with the positions,
    and give the ids of each document.  Decoding looks ids up in the table of token bytes.
 
+Blobs are compressed before they are written or shuffled, and the chunks are a table
+bucketed by chunk, so that only ids move in the last step.
+
 A worker holds one chunk, or the distinct words of one bucket; the number of
 buckets (shuffle partitions unless given) should grow with the input.
 
@@ -27,16 +30,17 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.units import unit_text, units
-from tidemark.shared import bound_batches, materialize
+from tidemark.shared import bound_batches, materialize_by
 
 CHUNK_CHARS = 6_000_000
-_CHUNK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("places", pa.binary())])
-CHUNK_DDL = "chunk long, bucket int, words binary, doc_ids array<long>, counts array<int>, places binary"
+_CHUNK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("places", pa.binary()), ("owners", pa.binary())])
+CHUNK_DDL = "chunk long, bucket int, words binary, doc_ids array<long>, counts array<int>, places binary, owners binary"
 _IDS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary()), ("lengths", pa.binary())])
 IDS_DDL = "chunk long, bucket int, ids binary, lengths binary"
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("tokens", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("decoded", pa.binary())])
@@ -47,35 +51,48 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers below 2**32, each byte of significance by itself, compressed."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(3).compress(planes.tobytes())
+
+
+def expand(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def pack(words: list[bytes]) -> bytes:
-    lengths = np.fromiter(map(len, words), np.uint32, len(words))
-    return np.uint32(len(words)).tobytes() + lengths.tobytes() + b"".join(words)
+    lengths = squeeze(np.fromiter(map(len, words), np.uint32, len(words)))
+    return np.uint32(len(lengths)).tobytes() + lengths + zstandard.ZstdCompressor(3).compress(b"".join(words))
 
 
 def unpack(blob: bytes) -> list[bytes]:
-    n = int(np.frombuffer(blob, np.uint32, 1)[0])
-    ends = (np.cumsum(np.frombuffer(blob, np.uint32, n, 4)) + 4 + 4 * n).tolist()
-    return [blob[a:b] for a, b in zip([4 + 4 * n, *ends], ends, strict=False)]
+    n = 4 + int(np.frombuffer(blob, np.uint32, 1)[0])
+    text = zstandard.ZstdDecompressor().decompress(blob[n:])
+    ends = np.cumsum(expand(blob[4:n])).tolist()
+    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def cut_chunk(chunk: int, doc_ids: list, texts: list, buckets: int) -> list[dict]:
-    """The rows of one chunk: its documents as places of words, and its words by bucket."""
+    """The rows of one chunk: its documents as places of words (and each word's bucket), and its words by bucket.
+
+    Words are numbered as they are met, so frequent ones have small numbers.
+    """
     seen: dict = {}
     counts, places = [], []
     for text in texts:
         found = units(text or "")
         counts.append(len(found))
-        places.append(np.fromiter((seen.setdefault(w, len(seen)) for w in found), np.int32, len(found)))
+        places.append(np.fromiter((seen.setdefault(w, len(seen)) for w in found), np.uint32, len(found)))
     raw = [unit_text(w).encode() for w in seen]
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in raw), np.int32, len(raw))
     order = np.argsort(bucket, kind="stable")
-    new = np.empty(len(raw), np.int32)  # words are numbered bucket by bucket
-    new[order] = np.arange(len(raw), dtype=np.int32)
-    flat = new[np.concatenate(places)] if raw else np.zeros(0, np.int32)
-    rows = [{"chunk": chunk, "bucket": None, "words": None, "doc_ids": doc_ids, "counts": counts, "places": flat.tobytes()}]
+    flat = np.concatenate(places) if places else np.zeros(0, np.uint32)
+    rows = [{"chunk": chunk, "bucket": None, "words": None, "doc_ids": doc_ids, "counts": counts, "places": squeeze(flat), "owners": squeeze(bucket)}]
     edges = np.flatnonzero(np.diff(bucket[order])) + 1
     for part in np.split(order, edges) if len(order) else []:
-        rows.append({"chunk": chunk, "bucket": int(bucket[part[0]]), "words": pack([raw[i] for i in part]), "doc_ids": None, "counts": None, "places": None})
+        rows.append({"chunk": chunk, "bucket": int(bucket[part[0]]), "words": pack([raw[i] for i in part]), "doc_ids": None, "counts": None, "places": None, "owners": None})
     return rows
 
 
@@ -112,8 +129,7 @@ def word_encoder(ranks_path: str, pattern: str):
                 ids = [known[w] for w in words]
                 lengths = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
                 flat = np.frombuffer(b"".join(ids), "<u4")
-                small = flat.size == 0 or flat.max() < 1 << 16
-                out.append({"chunk": chunk, "bucket": bucket, "ids": (b"2" + flat.astype("<u2").tobytes()) if small else b"4" + flat.tobytes(), "lengths": lengths.tobytes()})
+                out.append({"chunk": chunk, "bucket": bucket, "ids": squeeze(flat), "lengths": squeeze(lengths)})
             yield pa.RecordBatch.from_pylist(out, _IDS)
 
     return encode
@@ -132,8 +148,9 @@ def assembler(ranks_path: str, columns: list[str]):
             table.append(token_bytes)
         token_bytes = table[0]
         parts = sorted(right.to_pylist(), key=lambda r: r["bucket"])
-        lengths = np.concatenate([np.frombuffer(p["lengths"], np.uint32) for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
-        flat = np.concatenate([np.frombuffer(p["ids"], "<u2" if p["ids"][:1] == b"2" else "<u4", -1, 1).astype("<u4") for p in parts] or [np.zeros(0, "<u4")])
+        none = [np.zeros(0, "<u4")]
+        lengths = np.concatenate([expand(p["lengths"]) for p in parts] or none).astype(np.int64)
+        flat = np.concatenate([expand(p["ids"]) for p in parts] or none)
         ends = np.cumsum(lengths).tolist()
         ids = flat.tolist()
         raw = flat.tobytes()
@@ -143,7 +160,10 @@ def assembler(ranks_path: str, columns: list[str]):
         binary = [raw[4 * a : 4 * b] for a, b in spans]
         out: dict[str, list] = {c: [] for c in columns}
         for row in left.to_pylist():
-            places, at = np.frombuffer(row["places"], np.int32), 0
+            order = np.argsort(expand(row["owners"]), kind="stable")
+            place_of = np.empty(len(order), np.int64)
+            place_of[order] = np.arange(len(order))  # ids come bucket by bucket
+            places, at = place_of[expand(row["places"])], 0
             for doc_id, n in zip(row["doc_ids"], row["counts"], strict=True):
                 where = places[at : at + n]
                 own = where.tolist()
@@ -175,12 +195,12 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, columns=("d
     bound_batches(spark)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    chunks = materialize(slim.mapInArrow(cutter(buckets), CHUNK_DDL), "bpe-chunks")
+    chunks = materialize_by(slim.mapInArrow(cutter(buckets), CHUNK_DDL), "bpe-chunks", "chunk", buckets)
     words = chunks.where("bucket is not null").select("chunk", "bucket", "words").repartition("bucket")
     ids = words.mapInArrow(word_encoder(ranks_path, pattern), IDS_DDL)
     columns = list(dict.fromkeys(["doc_id", "n_tokens", *columns]))
     kinds = {"doc_id": "long", "n_tokens": "long", "ids": "binary", "tokens": "array<int>", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "binary"}
-    held = chunks.where("bucket is null").select("chunk", "doc_ids", "counts", "places")
+    held = chunks.where("bucket is null").select("chunk", "doc_ids", "counts", "places", "owners")
     return held.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(assembler(ranks_path, columns), ", ".join(f"{c} {kinds[c]}" for c in columns))
 
 
