@@ -175,6 +175,7 @@ def test_commits_and_marks(spark):
     log = spark.createDataFrame([(i, i % 4 == 3, "mark" if i == 2 else "insert", "shop", "wm" if i == 2 else "t", "ab" if i == 2 else None) for i in range(10)], "pos long, is_commit boolean, kind string, db string, tbl string, mark_id string")
     assert cut_to_commits(log).agg(F.max("pos")).head()[0] == 7 and changes.commit_cut(log, 6) == 3 and changes.commit_cut(log, 1) is None
     assert cut_to_commits(log, 1).count() == 0
+    assert len({changes.new_mark() for _ in range(9)}) == 9 and len(changes.new_mark()) == 32
     assert [tuple(r) for r in changes.marks(log, "shop", "wm").collect()] == [("ab", 2)]
 
 

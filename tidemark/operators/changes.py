@@ -9,6 +9,7 @@ The order of the log is (pos, seq), never the order of rows in a DataFrame.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,11 @@ def marks(log: DataFrame, db: str, table: str) -> DataFrame:
     return log.where((F.col("kind") == "mark") & (F.col("db") == db) & (F.col("tbl") == table)).select("mark_id", "pos")
 
 
+def new_mark() -> str:
+    """An id for a watermark row: 32 hexadecimal digits."""
+    return uuid.uuid4().hex
+
+
 def is_ddl(statement: Column, default_db: Column, db: str) -> Column:
     """Whether a statement changes a schema of ours: by its first word, then by its database or by ``db.`` in its text."""
     word = F.upper(F.regexp_extract(F.trim(statement), r"^(\S+)", 1))
