@@ -28,9 +28,13 @@ columns are not read.
 
 from __future__ import annotations
 
+import functools
+import gc
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +45,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.units import unit_text, units
 from tidemark.shared import bound_batches, new_path
 
-REMEMBER = 400_000
+REMEMBER = 600_000
 READ_BYTES = 8 << 20
 MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
@@ -55,7 +59,7 @@ def masked_crc(data: bytes) -> int:
 
 def frame(doc_id: int | None, ids: np.ndarray) -> bytes:
     width = 2 if ids.size == 0 or int(ids.max()) < 1 << 16 else 4
-    payload = KEY.pack(doc_id is not None, width, doc_id or 0) + ids.astype(f"<u{width}").tobytes()
+    payload = b"".join((KEY.pack(doc_id is not None, width, doc_id or 0), ids.astype(f"<u{width}").tobytes()))
     length = struct.pack("<Q", len(payload))
     return length + struct.pack("<I", masked_crc(length)) + payload + struct.pack("<I", masked_crc(payload))
 
@@ -72,25 +76,71 @@ def unframe(data: bytes, at: int = 0) -> tuple[int | None, np.ndarray, int]:
     return (doc_id if known else None), np.frombuffer(payload, f"<u{width}", -1, KEY.size).astype("<u4"), at + length + 16
 
 
+#: Characters whose class no version of Unicode changes, so that the pattern splits them alike everywhere.
+_PLAIN = re.compile(r"[\n -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*\Z")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that a byte-level vocabulary writes bytes with: printable ones stand for themselves, others follow from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
+@functools.cache
 def encoder(tokenizer_path: str):
-    """A function from texts to arrays of ids."""
+    """A function from texts to the ids of each, as bytes of little-endian unsigned 32-bit integers.
+
+    A piece that is not remembered is split as the tokenizer's own pattern does, and each
+    match goes to the library's BPE model, which saves the rest of its machinery for every
+    short text; pieces with uncommon characters go through all of the library.  A worker
+    keeps the function, and what it remembers, from task to task.
+    """
+    import regex
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
     tokenizer.encode_special_tokens = True  # their strings are ordinary text here
-    known: dict = {}
-
-    def encode(texts: list[str | None]) -> Iterator[np.ndarray]:
-        cut = [units(t or "") for t in texts]
-        if len(known) > REMEMBER:
-            known.clear()
-        new = list({u for doc in cut for u in doc if u not in known})
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
-            for u, e in zip(part, tokenizer.encode_batch_fast([unit_text(u) for u in part], add_special_tokens=False), strict=True):
-                known[u] = np.array(e.ids, "<u4").tobytes()
-        for doc in cut:
-            yield np.frombuffer(b"".join([known[u] for u in doc]), "<u4")
+    kind = repr(tokenizer.pre_tokenizer)
+    direct = isinstance(tokenizer.pre_tokenizer, ByteLevel) and tokenizer.normalizer is None and "use_regex=True" in kind and "add_prefix_space=False" in kind
+    split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
+    letters, tokenize, plain = byte_letters(), tokenizer.model.tokenize, _PLAIN.match
+    pack = [struct.pack("<I", i) for i in range(tokenizer.get_vocab_size())]
+    gap = letters[32]
+
+    def word_ids(word: str) -> bytes:
+        if word.isascii() and word.isprintable() and " " not in word[1:]:
+            written = gap + word[1:] if word[0] == " " else word
+        else:
+            written = word.encode().decode("latin-1").translate(letters)
+        return b"".join([pack[t.id] for t in tokenize(written)])
+
+    class Known(dict):
+        """Ids by unit.  The first to be met are mostly the frequent ones, so a full table keeps its older half."""
+
+        def __missing__(self, unit) -> bytes:
+            text = unit_text(unit)
+            if not direct or not plain(text):
+                ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            elif isinstance(unit, str) and (core := unit.rstrip(punctuation)).isalpha():
+                # a word and what follows it: two matches
+                ids = self[core] + self[(unit[len(core) :],)] if len(core) < len(unit) else word_ids(text)
+            else:
+                found = split(text)
+                ids = word_ids(found[0]) if len(found) == 1 else b"".join([self[(w,)] for w in found])
+            if len(self) > REMEMBER:
+                for key in list(self)[REMEMBER // 2 :]:
+                    del self[key]
+            self[unit] = ids
+            return ids
+
+    known = Known()
+    gc.set_threshold(100_000, 50, 50)  # the table holds nothing that could be a cycle, and is walked in vain
+
+    def encode(texts: list[str | None]) -> Iterator[bytes]:
+        for text in texts:
+            yield b"".join([known[u] for u in units(text or "")])
 
     return encode
 
@@ -107,18 +157,19 @@ def writer(tokenizer_path: str, folder: str, end_id: int):
         files, base = filesystem(folder)
         number, own = context.partitionId(), f".{context.taskAttemptId()}.tmp"
         name = f"{base}/part-{number:06d}"
-        encode = encoder(tokenizer_path)
+        encode, end = encoder(tokenizer_path), struct.pack("<I", end_id)
         offsets, at, tokens, out = [], 0, 0, None
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for k in range(0, len(ids), 256):
+                frames = []
                 for doc_id, found in zip(ids[k : k + 256], encode(texts[k : k + 256]), strict=True):
-                    out = out or files.open_output_stream(f"{name}.rec{own}")
-                    data = frame(doc_id, np.append(found, np.uint32(end_id)))
-                    out.write(data)
+                    frames.append(frame(doc_id, np.frombuffer(found + end, "<u4")))
                     offsets.append(at)
-                    at += len(data)
-                    tokens += len(found) + 1
+                    at += len(frames[-1])
+                    tokens += len(found) // 4 + 1
+                out = out or files.open_output_stream(f"{name}.rec{own}")
+                out.write(b"".join(frames))
         if out is None:
             return
         out.close()
@@ -134,7 +185,7 @@ def writer(tokenizer_path: str, folder: str, end_id: int):
 def write_records(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0) -> list[tuple[int, int, int]]:
     """Write all documents to ``folder``; (file number, documents, tokens) of each file in order, a row per shuffle partition."""
     spark = docs.sparkSession
-    bound_batches(spark)
+    bound_batches(spark, megabytes=4)
     files, base = filesystem(folder)
     files.create_dir(base, recursive=True)
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

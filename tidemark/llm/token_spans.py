@@ -80,7 +80,7 @@ def _counter(tokenizer_path: str, rule: str, split):
             for doc_id, parts, tokens in zip(ids, cut, encode(["".join(parts) for parts in cut]), strict=True):
                 chars = np.fromiter(map(len, parts), np.int64, len(parts))
                 held = np.fromiter((len(p.encode()) for p in parts), np.int64, len(parts))
-                n, crossing = allocate(np.cumsum(held) - held, size[tokens], rule)
+                n, crossing = allocate(np.cumsum(held) - held, size[np.frombuffer(tokens, "<u4")], rule)
                 for c, x in zip(columns, (np.arange(len(parts)), np.cumsum(chars) - chars, chars, n, crossing), strict=True):
                     c.append(x)
                 owner.append(doc_id)
