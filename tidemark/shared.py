@@ -6,11 +6,23 @@ where driver and executors are one process, may do without that setting.
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-LOCAL_FALLBACK = "file:///tmp/checkpoints/tidemark"
+LOCAL_FALLBACK = "/tmp/checkpoints/tidemark"
+
+
+def _local_folder() -> str:
+    """A folder of this process, gone when it ends."""
+    folder = f"{LOCAL_FALLBACK}-{os.getpid()}"
+    if not os.path.isdir(folder):
+        os.makedirs(folder)
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,7 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = LOCAL_FALLBACK
+        folder = _local_folder()
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
