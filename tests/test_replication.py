@@ -10,7 +10,7 @@ from tidemark.operators.spec import TableSpec
 from tidemark.shared import new_path
 from tidemark.sources.change_log import register
 from tidemark.sources.config import Progress, State
-from tidemark.streaming.follow import Backfill, WindowInterrupted, cut_to_commits, follow
+from tidemark.streaming.follow import Backfill, WindowInterrupted, await_mark, cut_to_commits, follow
 
 K, PAYLOAD = ("k",), ["v"]
 OPS = "k long, v long, op string, pos long, seq int"
@@ -121,6 +121,14 @@ def test_chunked_backfill_with_changes_in_every_window(spark, tmp_path, seed):
     assert make().run().chunks == 0
 
 
+def test_waiting_for_a_mark_ends_when_the_log_is_silent():
+    now, heads = [0.0], iter([1, 2, 3] + [3] * 50)
+    step = lambda s: now.__setitem__(0, now[0] + s)
+    assert await_mark(lambda: None, lambda: next(heads), 5, clock=lambda: now[0], sleep=step) is None and now[0] == 7
+    found = iter([None, None, 42])
+    assert await_mark(lambda: next(found), lambda: 1, 5, clock=lambda: now[0], sleep=step) == 42
+
+
 def test_keyset_paging_reads_every_row_once_and_is_pushed_down(spark, tmp_path):
     rng = random.Random(1)
     rows = sorted({(rng.randrange(6), rng.choice("abc"), rng.randrange(4)) for _ in range(60)})

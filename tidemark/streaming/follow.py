@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -39,6 +40,18 @@ class WindowInterrupted(RuntimeError):
     """A chunk's window did not close; the chunk is read again later."""
 
 
+def await_mark(find: Callable[[], int | None], head: Callable[[], int | None], timeout: float, pause: float = 1.0, clock=time.monotonic, sleep=time.sleep) -> int | None:
+    """The position of a mark once ``find`` has it, or None after ``timeout`` seconds in which the log's ``head`` stood still."""
+    seen, since = head(), clock()
+    while (pos := find()) is None:
+        if (now := head()) != seen:
+            seen, since = now, clock()
+        elif clock() - since >= timeout:
+            return None
+        sleep(pause)
+    return pos
+
+
 @dataclass
 class Counts:
     chunks: int = 0
