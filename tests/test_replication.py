@@ -124,7 +124,7 @@ def test_chunked_backfill_with_changes_in_every_window(spark, tmp_path, seed):
 def test_waiting_for_a_mark_ends_when_the_log_is_silent():
     now, heads = [0.0], iter([1, 2, 3] + [3] * 50)
     step = lambda s: now.__setitem__(0, now[0] + s)
-    assert await_mark(lambda: None, lambda: next(heads), 5, clock=lambda: now[0], sleep=step) is None and now[0] == 7
+    assert await_mark(lambda: None, lambda: next(heads), 5, clock=lambda: now[0], sleep=step) is None and now[0] == 6
     found = iter([None, None, 42])
     assert await_mark(lambda: next(found), lambda: 1, 5, clock=lambda: now[0], sleep=step) == 42
 
