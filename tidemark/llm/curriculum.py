@@ -33,6 +33,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _source_key(source: Column) -> Column:
+    """Empty for null, else a letter and the name."""
+    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit(""))
+
+
 def targets(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5, epochs: int = 2) -> DataFrame:
     """Per source (columns source, source_size): its ordinal, weight and target.
 
@@ -88,26 +93,26 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, epochs: int = 2,
     docs = docs.drop("source_size", "target", "taken", "positions")
     if "size" not in docs.columns:
         docs = docs.withColumn("size", word_count(F.col("text")))
+    # a key without nulls: the window and the join after it then share one shuffle of the rows
+    rows = docs.withColumn("__source", _source_key(F.col("source")))
     hashed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
-    rows = docs.withColumn("__h", hashed).withColumn("__cell", F.conv(F.substring("__h", 1, 6), 16, 10).cast("int") % cells)
-    per_cell = rows.groupBy("source", "__cell").agg(F.sum("size").alias("__words"))
-    aims = targets(per_cell.groupBy("source").agg(F.sum("__words").alias("source_size")), weights, share, epochs)
-    before = Window.partitionBy("source").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        per_cell.withColumn("__from", F.coalesce(F.sum("__words").over(before), F.lit(0)))
-        .join(aims.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-        .select(F.col("source").alias("__source"), F.col("__cell").alias("__c"), "__from", "source_size", F.col("ordinal").alias("__ordinal"), "target")
-    )
-    within = Window.partitionBy("source", "__cell").orderBy("__h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__h", hashed).withColumn("__cell", F.conv(F.substring("__h", 1, 6), 16, 10).cast("int") % cells)
+    per_cell = rows.groupBy("__source", "__cell").agg(F.sum("size").alias("__words"))
+    name = F.when(F.col("__source") != "", F.substring("__source", 2, 1 << 30))
+    sizes = per_cell.groupBy("__source").agg(F.sum("__words").alias("source_size")).select(name.alias("source"), "source_size")
+    aims = targets(sizes, weights, share, epochs).select(_source_key(F.col("source")).alias("__source"), "source_size", F.col("ordinal").alias("__ordinal"), "target")
+    before = Window.partitionBy("__source").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_cell.withColumn("__from", F.coalesce(F.sum("__words").over(before), F.lit(0))).drop("__words").join(aims, "__source")
+    within = Window.partitionBy("__source", "__cell").orderBy("__h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("__start", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    placed = placed.join(starts, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__cell") == F.col("__c")))
+    placed = placed.join(starts, ["__source", "__cell"])
     placed = placed.withColumn("__start", F.col("__start") + F.col("__from")).withColumn("__aim", F.round("target").cast("long"))
     parts = [F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("__aim") - F.col("__start") - e * F.col("source_size"))) for e in range(epochs)]
     when = [F.when(p > 0, due((F.col("__start") + e * F.col("source_size")) / F.col("target"), F.col("__ordinal"), schedules)) for e, p in enumerate(parts)]
     return (
         placed.withColumn("taken", sum(parts[1:], parts[0]))
         .withColumn("positions", F.filter(F.array(*when), lambda x: x.isNotNull()))
-        .drop("__h", "__cell", "__start", "__source", "__c", "__from", "__aim", "__ordinal")
+        .drop("__h", "__cell", "__start", "__source", "__from", "__aim", "__ordinal")
     )
 
 
