@@ -20,8 +20,8 @@ Strings never cross documents, and all are judged on the input.
    the next shard's are looked up by binary search.
 5. The repeated starts return to their documents, which drop what they cover.
 
-Documents are written once to a table bucketed by row, so that joining runs and
-repeats to them does not shuffle text again.
+Documents and shared runs are written to tables bucketed by row, so that joining runs
+and repeats to documents does not shuffle text again.
 
 Edge cases: null text counts as empty; texts under 100 bytes lose nothing; rows of
 equal doc_id (and null ones, which come last) are ordered by their row number, so
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.shared import bound_batches, materialize, new_path
+from tidemark.shared import bound_batches, materialize, materialize_by, remove
 
 SPAN, GRAM = 100, 24
 WINDOW = SPAN - GRAM + 1
@@ -419,22 +419,22 @@ def find_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ca
     bound_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chosen = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.col(text).cast("string").alias("__text"), *(carry or []))
-    path = new_path(spark, "suffix-documents")
-    name = "suffix_documents_" + path.rsplit("-", 1)[1]
     rows = chosen.withColumn("__uid", F.monotonically_increasing_id()).repartition(buckets, "__uid")
-    rows.write.bucketBy(buckets, "__uid").option("compression", "zstd").option("path", path).saveAsTable(name)
+    base = materialize_by(rows, "suffix-documents", "__uid", buckets)
     _release(spark)
-    base = spark.table(name)
     runs = materialize(base.select("__uid", "__text").mapInArrow(_anchors, "uid long, first long, last long, hash long, kind byte"), "suffix-runs")
     meeting = runs.where("kind <> 1").repartition("hash").sortWithinPartitions("hash")
     met = meeting.mapInArrow(_met, "uid long, first long, last long, hash long")
-    shared = materialize(runs.where("kind = 1").drop("kind").union(met), "suffix-shared")
+    found = runs.where("kind = 1").drop("kind").union(met).repartition(buckets, "uid")
+    shared = materialize_by(found, "suffix-shared", "uid", buckets)
+    remove(runs)
     _release(spark)
     lists = shared.groupBy("uid").agg(F.collect_list(F.struct("first", "last", "hash")).alias("runs"))
     order = F.coalesce("__doc", F.lit((1 << 63) - 1))
     joined = base.join(lists, base["__uid"] == lists["uid"]).select(order.alias("doc"), "__uid", "__text", "runs")
     contexts = joined.mapInArrow(_contexts, CONTEXT_DDL).repartition("key").sortWithinPartitions("key", "doc", "uid", "first")
     repeats = materialize(contexts.mapInArrow(_shards, "uid long, first long, last long"), "suffix-repeats")
+    remove(shared)
     _release(spark)
     ranges = repeats.groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("__ranges"))
     return base.join(ranges, base["__uid"] == ranges["uid"], "left").drop("uid", "__uid")
