@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.units import unit_text, units
 from tidemark.shared import bound_batches, materialize_by
 
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 10_000_000
 _CHUNK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("places", pa.binary()), ("owners", pa.binary())])
 CHUNK_DDL = "chunk long, bucket int, words binary, doc_ids array<long>, counts array<int>, places binary, owners binary"
 _IDS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary()), ("lengths", pa.binary())])
