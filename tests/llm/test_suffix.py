@@ -2,6 +2,7 @@ import random
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import suffix_dedup as s
@@ -50,36 +51,56 @@ def brute(rows):
 
 
 def run(spark, monkeypatch, tmp_path, df):
-    df.select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
     return sorted((tuple(r) for r in s.op7_suffix_dedup(spark, str(tmp_path)).collect()), key=lambda r: (r[0] is None, r))
 
 
-@pytest.mark.parametrize("shard", [s.SHARD, 2500])
-def test_against_brute_force(spark, texts, frame_of, monkeypatch, tmp_path, shard):
+@pytest.mark.parametrize("shard, hot", [(s.SHARD, s.HOT), (2500, 14), (2500, 3)])
+def test_against_brute_force(spark, texts, frame_of, monkeypatch, tmp_path, shard, hot):
+    """The columns of the input clash with names used inside; the last case salts anchors and merges their shards."""
     rng = random.Random(4)
     long = "".join(rng.choice("abcdefgh ") for _ in range(900))
-    # one anchor with many different contexts, so that its strings go through several shards
+    # one anchor with many different contexts
     rows = [*texts, *((1000 + i, f"{rng.random()}" * 4 + long[400:] + str(rng.random()) * 3) for i in range(12)), (2000, long), (2001, long[:450] * 2), (2002, "é" * 150), (2003, "xé" * 150 + "é" * 120)]
     monkeypatch.setattr(s, "SHARD", shard)
-    got = run(spark, monkeypatch, tmp_path, frame_of(rows))
+    monkeypatch.setattr(s, "HOT", hot)
+    got = run(spark, monkeypatch, tmp_path, frame_of(rows, uid=1, hash=2, key=3, first=4))
     assert got == sorted(brute(rows), key=lambda r: (r[0] is None, r))
 
 
-def test_carry_between_shards():
-    rng = random.Random(6)
-    base = bytes(rng.choice(b"abcd") for _ in range(300))
-    contexts = [base[i : i + 150] for i in (0, 20, 40, 60, 20, 0, 100)]
-    starts, keys = np.full(7, 51), np.zeros(7, np.int64)
-    seen, want = set(), []
-    for c in contexts:
-        for i in range(51):
-            want.append(c[i : i + 100] in seen)
-            seen.add(c[i : i + 100])
-    got, carried = [], None
-    for a, b in ((0, 2), (2, 3), (3, 7)):
-        flags, carried = s.shard_repeats(contexts[a:b], starts[a:b], np.arange(b - a), keys[a:b], carried, 0)
-        got += flags.tolist()
-    assert got == want
+def test_a_hot_passage_over_many_shards(spark, frame_of, monkeypatch, tmp_path):
+    """A third of all rows holds one passage, always between other words; its contexts are many, and none may be missed."""
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    passage = words(30)
+    rows = [(i, f"{words(12)} {passage} {words(12)}" if i % 3 == 0 else words(40)) for i in range(240)]
+    monkeypatch.setattr(s, "SHARD", 1760)
+    monkeypatch.setattr(s, "HOT", 10)
+    assert run(spark, monkeypatch, tmp_path, frame_of(rows)) == sorted(brute(rows))
+
+
+def test_met_runs_and_hot_hashes(monkeypatch):
+    """Batches of any size give the same; a hash is hot by its runs, not its rows."""
+    monkeypatch.setattr(s, "HOT", 4)
+    rows = [(1, 0, 5, 7, 0), (2, 0, 5, 8, 0), (3, 1, 2, 8, 0), (0, 0, 2, 9, 2), (4, 0, 1, 9, 0), *((k, 0, 1, 10, 0) for k in range(5, 10)), (0, 0, 9, 11, 2)]
+    for size in (1, 2, 3, 20):
+        got = [r for k in range(0, len(rows), size) for r in [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k : k + size], strict=True)], ["uid", "first", "last", "hash", "kind"])]]
+        out = [tuple(r.values()) for b in s._met(iter(got)) for r in b.to_pylist()]
+        assert sorted(r for r in out if r[0] is not None) == [(k, *x, 0) for k, x in ((2, (0, 5, 8)), (3, (1, 2, 8)), (4, (0, 1, 9)), *((k, (0, 1, 10)) for k in range(5, 10)))]
+        assert sorted(r[3:] for r in out if r[0] is None) == [(10, 2), (11, 3)]
+
+
+def test_contexts_of_a_task_are_sent_once(monkeypatch):
+    """However few contexts a task remembers, a row goes without bytes only if an earlier one has gone with them."""
+    texts = ["x" * 30 + "y" * 130] * 4 + ["z" * 160]
+    batch = pa.RecordBatch.from_pylist([{"doc": d, "uid": u, "text": t, "runs": [{"first": 0, "last": 60, "hash": 5, "salts": 0}]} for u, (d, t) in enumerate(zip((3, 2, 9, 1, 0), texts, strict=True))])
+    for most in (1, 100):
+        monkeypatch.setattr(s, "REMEMBER", most)
+        out = [r for half in (batch[:2], batch[2:]) for b in s._contexts(iter([half])) for r in b.to_pylist()]
+        assert len(out) == 5 and {r["uid"] for r in out if r["bytes"] is None} <= {0, 2}
+    merged = pa.RecordBatch.from_pylist([{"uid": k, "first": 0, "last": 0, "doc": k, "string": c * 100} for k, c in enumerate((b"a", b"b", b"b", b"b", b"c"))])
+    for cut in (1, 2, 3, 5):
+        assert [u for b in s._merge(iter([merged[:cut], merged[cut:]])) for u in b.column(0).to_pylist()] == [2, 3]
 
 
 def test_long_text_in_pieces(monkeypatch):

@@ -9,19 +9,24 @@ Strings never cross documents, and all are judged on the input.
    so equal strings have equal anchors, and neighbouring starts share theirs: a document
    becomes runs of starts (first, last, hash of the anchor), about one for 39 bytes.
 2. ``shared``: only runs whose anchor occurs elsewhere can hold repeats.  A task
-   settles what repeats inside its own chunk and sends one row for each such
-   hash, so a frequent hash costs a row per chunk; the rest meets by hash.
-3. ``contexts``: the bytes of the strings of a shared run go to the shard of its hash.
-   Runs with equal bytes in one chunk go once, and the later ones are repeats already.
-4. ``shards``: the suffix array of up to ``SHARD`` bytes of contexts (Larsson-Sadakane
-   refinement), common prefixes (Kasai), and in each group of strings that agree in 100
-   bytes all but the earliest are repeats.  An anchor with more contexts than a shard
-   holds goes on in the next one: its distinct strings so far are a sorted array in which
-   the next shard's are looked up by binary search.
-5. The repeated starts return to their documents, which drop what they cover.
-
-Documents and shared runs are written to tables bucketed by row, so that joining runs
-and repeats to documents does not shuffle text again.
+   counts what repeats inside its own chunk and sends one row for each such
+   hash, so a frequent hash costs a row per chunk; the rest meets by hash.  A hash
+   with more runs than ``HOT`` gets as many salts as it needs to fit shards.
+3. ``contexts``: the bytes of the strings of a shared run go to the shard of its hash (and
+   salt).  Of runs with equal bytes a task sends the earliest it knows; the others are
+   repeats already and go without bytes, each to a shard of its own.
+4. ``shards``: of equal contexts again only the earliest counts.  The suffix array of up to
+   ``SHARD`` bytes of distinct ones (Larsson-Sadakane refinement), common prefixes
+   (Kasai), and in each group of strings that agree in 100 bytes all but the earliest are
+   repeats.
+5. ``merge``: a hot anchor lies in several shards.  The strings that were the earliest of
+   their shard are sorted across shards, and each is looked up by binary search: the
+   first of equal ones is the earliest of all.
+6. The repeated starts return to their documents, which drop what they cover.
+
+No task holds more than a shard, or than the strings of one batch, whatever the
+frequency of an anchor.  Documents and shared runs are written to tables bucketed by
+row, so that joining runs and repeats to documents does not shuffle text again.
 
 Edge cases: null text counts as empty; texts under 100 bytes lose nothing; rows of
 equal doc_id (and null ones, which come last) are ordered by their row number, so
@@ -31,7 +36,6 @@ overlapping pieces; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -40,12 +44,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.shared import bound_batches, materialize, materialize_by, remove
+from tidemark.shared import bound_batches, materialize, materialize_by, remove, tasks_for
 
 SPAN, GRAM = 100, 24
 WINDOW = SPAN - GRAM + 1
 CHUNK = 3 << 20
 SHARD = 1_600_000
+HOT = SHARD // (SPAN + WINDOW - 1)  # so many contexts of an anchor fit a shard
+REMEMBER = 100_000  # contexts that a task compares new ones with
 _POSITION = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -198,7 +204,7 @@ _RUNS = pa.schema([("uid", pa.int64()), ("first", pa.int64()), ("last", pa.int64
 
 
 def _runs(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    """Runs of a chunk.  kind 0: alone in it; 1: shared within it; 2: a probe, that other chunks' runs may meet."""
+    """Runs of a chunk.  kind 0: alone in it; 1: shared within it; 2: a probe that other chunks' runs may meet, with their number as ``last``."""
     lengths = np.fromiter((len(raw) for _, _, raw in held), np.int64, len(held))
     ends = np.cumsum(lengths)
     first, last, hashes = anchor_runs(np.frombuffer(b"".join(raw for _, _, raw in held), np.uint8), ends)
@@ -209,7 +215,7 @@ def _runs(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     probes = distinct[counts > 1]
     kind = (counts[inverse] > 1).astype(np.int8)
     empty = np.zeros(len(probes), np.int64)
-    columns = [np.concatenate(x) for x in ((uid, empty), (first + shift[piece], empty), (last + shift[piece], empty), (hashes, probes), (kind, np.full(len(probes), 2, np.int8)))]
+    columns = [np.concatenate(x) for x in ((uid, empty), (first + shift[piece], empty), (last + shift[piece], counts[counts > 1]), (hashes, probes), (kind, np.full(len(probes), 2, np.int8)))]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_RUNS)
 
 
@@ -228,57 +234,81 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _runs(held)
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by hash, the runs whose hash the row before or after has too."""
-    held: list[np.ndarray] | None = None  # the last row so far
-    was_equal = False
+_MET = pa.schema([*list(_RUNS)[:4], ("salts", pa.int32())])
+
+
+def _hot(hashes: np.ndarray, runs: np.ndarray) -> pa.RecordBatch:
+    """A row without uid for each hash of more than ``HOT`` runs."""
+    many = runs > HOT
+    n = int(many.sum())
+    none = pa.nulls(n, pa.int64())
+    return pa.RecordBatch.from_arrays([none, none, none, pa.array(hashes[many]), pa.array(-(-runs[many] // HOT), pa.int32())], schema=_MET)
 
-    def give(columns: list[np.ndarray], equal: np.ndarray) -> pa.RecordBatch:
-        chosen = equal & (columns[4] == 0)
-        return pa.RecordBatch.from_arrays([pa.array(c[chosen]) for c in columns[:4]], schema=pa.schema(list(_RUNS)[:4]))
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by hash, the runs whose hash another row has too, and the hot hashes with their salts."""
+    of, rows, runs, alone = None, 0, 0, None  # the last hash, its rows and runs so far, and its row while that is the only one
     for batch in batches:
         columns = [c.to_numpy() for c in batch.columns]
-        if not len(columns[0]):
+        _, _, last, hashes, kind = columns
+        if not len(hashes):
             continue
-        if held is not None:
-            columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
-        step = columns[3][1:] == columns[3][:-1]
-        equal = np.append(step, False)
-        equal[1:] |= step
-        equal[0] |= was_equal and held is not None
-        yield give([c[:-1] for c in columns], equal[:-1])
-        held, was_equal = [c[-1:] for c in columns], bool(equal[-1])
-    if held is not None:
-        yield give(held, np.array([was_equal]))
+        edge = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+        size = np.diff(np.append(edge, len(hashes)))
+        all_rows, all_runs = size.copy(), np.add.reduceat(np.where(kind == 2, last, 1), edge)
+        if of == hashes[0]:
+            all_rows[0], all_runs[0] = all_rows[0] + rows, all_runs[0] + runs
+            if alone is not None:
+                yield alone
+        elif of is not None:
+            yield _hot(np.array([of]), np.array([runs]))
+        chosen = (kind == 0) & np.repeat(all_rows > 1, size)
+        zero = pa.array(np.zeros(int(chosen.sum()), np.int32))
+        yield pa.RecordBatch.from_arrays([*(pa.array(c[chosen]) for c in columns[:4]), zero], schema=_MET)
+        yield _hot(hashes[edge[:-1]], all_runs[:-1])
+        of, rows, runs = int(hashes[-1]), int(all_rows[-1]), int(all_runs[-1])
+        single = rows == 1 and kind[-1] == 0
+        alone = pa.RecordBatch.from_arrays([*(pa.array(c[-1:]) for c in columns[:4]), pa.array([0], pa.int32())], schema=_MET) if single else None
+    if of is not None:
+        yield _hot(np.array([of]), np.array([runs]))
 
 
 # --- contexts and shards ---------------------------------------------------------------------
 
-_CONTEXT = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("uid", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("bytes", pa.binary())])
-CONTEXT_DDL = "key long, doc long, uid long, first long, last long, bytes binary"
-_REPEATS = pa.schema([("uid", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
+_CONTEXT = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("uid", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("hot", pa.bool_()), ("bytes", pa.binary())])
+CONTEXT_DDL = "key long, doc long, uid long, first long, last long, hot boolean, bytes binary"
+_REPEATS = pa.schema([("uid", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("doc", pa.int64()), ("string", pa.binary())])
+REPEATS_DDL = "uid long, first long, last long, doc long, string binary"
+
+
+def _salted(h: int, salt: int) -> int:
+    mixed = (h ^ (salt + 1) * _BASE) & (1 << 64) - 1
+    return mixed - (1 << 64) if mixed >> 63 else mixed
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per run with its bytes; for a run whose bytes an earlier one of the batch has, a row without."""
+    """A row per run with its bytes; without them for a run whose bytes a row sent before has, further ahead in the order."""
+    sent: dict[bytes, tuple[int, int, int]] = {}
     for batch in batches:
         docs, uids, texts = (batch.column(k).to_pylist() for k in range(3))
         runs = batch.column(3)
         offsets = runs.offsets.to_numpy()
         flat = runs.values
-        firsts, lasts, hashes = (flat.field(k).to_pylist() for k in range(3))
-        seen: set = set()
+        firsts, lasts, hashes, salts = (flat.field(k).to_pylist() for k in range(4))
         out: list[tuple] = []
         for d in sorted(range(len(docs)), key=lambda d: (docs[d], uids[d])):
             raw, a, b = (texts[d] or "").encode(), offsets[d], offsets[d + 1]
-            for first, last, h in sorted(zip(firsts[a:b], lasts[a:b], hashes[a:b], strict=True)):
-                own = raw[first : last + SPAN]
-                if (h, own) in seen:
-                    out.append((uids[d] ^ first << 20, docs[d], uids[d], first, last, None))
-                else:
-                    seen.add((h, own))
-                    out.append((h, docs[d], uids[d], first, last, own))
+            doc, uid = docs[d], uids[d]
+            for first, last, h, n in sorted(zip(firsts[a:b], lasts[a:b], hashes[a:b], salts[a:b], strict=True)):
+                own, place = raw[first : last + SPAN], (doc, uid, first)
+                known = sent.get(own)
+                if known is not None and known < place:
+                    out.append((uid ^ first << 20, doc, uid, first, last, False, None))
+                    continue
+                if len(sent) >= REMEMBER:
+                    sent.clear()
+                sent[own] = place
+                out.append((_salted(h, (uid + first) % n) if n else h, doc, uid, first, last, n > 0, own))
             if len(out) > 20_000:
                 yield _context_batch(out)
                 out = []
@@ -286,16 +316,38 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _context_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(_CONTEXT)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CONTEXT, strict=True)], schema=_CONTEXT)
 
 
-def shard_repeats(contexts: list[bytes], starts: np.ndarray, order: np.ndarray, keys: np.ndarray, carried: tuple[int, np.ndarray] | None, keep: int | None) -> tuple[np.ndarray, tuple[int, np.ndarray] | None]:
-    """Which starts of a shard are repeats, as a flag for each start, contexts one after the other.
+def _ranks(table: pa.Table) -> np.ndarray:
+    """The rank of each row by document and place."""
+    doc, uid, first = (table.column(k).to_numpy() for k in (1, 2, 3))
+    rank = np.empty(len(doc), np.int64)
+    rank[np.lexsort((first, uid, doc))] = np.arange(len(doc))
+    return rank
+
+
+def _ranges(table: pa.Table) -> pa.RecordBatch:
+    """All starts of these contexts as repeats."""
+    uid, first, last = (table.column(k).combine_chunks() for k in (2, 3, 4))
+    return pa.RecordBatch.from_arrays([uid, first, last, pa.nulls(len(uid), pa.int64()), pa.nulls(len(uid), pa.binary())], schema=_REPEATS)
+
+
+def distinct_contexts(table: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """The earliest of equal contexts, and all others."""
+    same = pa.chunked_array([table.column("bytes").combine_chunks()]).combine_chunks().dictionary_encode().indices.to_numpy()
+    rank = _ranks(table)
+    least = np.full(int(same.max()) + 1 if len(same) else 0, len(rank))
+    np.minimum.at(least, same, rank)
+    earliest = pa.array(rank == least[same])
+    return table.filter(earliest), table.filter(pa.compute.invert(earliest))
+
+
+def shard_repeats(contexts: list[bytes], starts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which starts of a shard are repeats, as a flag for each start, contexts one after the other; the shard's bytes, and where in them each start is.
 
-    ``starts``: strings to judge in each context; ``order``: rank of the contexts by document and
-    place; ``carried``: key and sorted distinct strings of the anchor that earlier shards ended with;
-    ``keep``: the key whose strings the next shard needs.
+    ``starts``: strings to judge in each context; ``order``: rank of the contexts by document and place.
     """
     text = np.frombuffer(b"".join(contexts), np.uint8)
     sa, rank = suffix_array(text)
@@ -309,72 +361,73 @@ def shard_repeats(contexts: list[bytes], starts: np.ndarray, order: np.ndarray,
     own = group[rank[position]]
     least = np.full(int(group[-1]) + 1 if len(group) else 0, np.iinfo(np.int64).max)
     np.minimum.at(least, own, when)
-    earliest = when == least[own]
-    repeated = ~earliest
-
-    def strings(chosen: np.ndarray) -> np.ndarray:
-        view = np.lib.stride_tricks.sliding_window_view(text, SPAN)
-        return np.ascontiguousarray(view[position[chosen]]).view(f"S{SPAN}").ravel()
-
-    if carried is not None and len(carried[1]):
-        chosen = np.flatnonzero(earliest & (keys[of] == carried[0]))
-        found = strings(chosen)
-        at = np.searchsorted(carried[1], found)
-        repeated[chosen[carried[1][np.minimum(at, len(carried[1]) - 1)] == found]] = True
-    after = None
-    if keep is not None:
-        fresh = np.sort(strings(np.flatnonzero(earliest & ~repeated & (keys[of] == keep))))
-        if carried is not None and carried[0] == keep:
-            fresh = np.insert(carried[1], np.searchsorted(carried[1], fresh), fresh) if len(carried[1]) else fresh
-        after = (keep, fresh)
-    return repeated, after
+    return when != least[own], text, position
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, document and place; gives the repeated starts as ranges."""
-    held: list[pa.Table] = []
-    size, carried = 0, None
-
-    def work(table: pa.Table, following: int | None) -> pa.RecordBatch:
-        nonlocal carried
-        key, doc, uid, first, last = (table.column(k).to_numpy() for k in range(5))
-        order = np.empty(len(key), np.int64)
-        order[np.lexsort((first, uid, doc))] = np.arange(len(key))
-        keep = following if following is not None and following == key[-1] else None
-        starts = last - first + 1
-        repeated, carried = shard_repeats(table.column(5).to_pylist(), starts, order, key, carried, keep)
-        of = np.repeat(np.arange(len(starts)), starts)
-        # ranges also end where a context ends
-        ends = np.cumsum(starts)
-        new = repeated.copy()
-        new[1:] &= ~repeated[:-1] | (of[1:] != of[:-1])
-        over = repeated.copy()
-        over[:-1] &= ~repeated[1:] | (of[1:] != of[:-1])
-        a, b = np.flatnonzero(new), np.flatnonzero(over)
-        shift = first[of[a]] - (ends - starts)[of[a]]
-        return pa.RecordBatch.from_arrays([pa.array(uid[of[a]]), pa.array(a + shift), pa.array(b + shift)], schema=_REPEATS)
+def _shard(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Ranges of repeated starts; of hot contexts also the strings that are the earliest here."""
+    table, copies = distinct_contexts(table)
+    yield _ranges(copies)
+    doc, uid, first, last = (table.column(k).to_numpy() for k in (1, 2, 3, 4))
+    hot = table.column("hot").to_numpy(zero_copy_only=False)
+    starts = last - first + 1
+    repeated, text, position = shard_repeats(table.column("bytes").to_pylist(), starts, _ranks(table))
+    of = np.repeat(np.arange(len(starts)), starts)
+    place = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(starts) - starts, starts)
+    # ranges also end where a context ends
+    new, over = repeated.copy(), repeated.copy()
+    new[1:] &= ~repeated[:-1] | (of[1:] != of[:-1])
+    over[:-1] &= ~repeated[1:] | (of[1:] != of[:-1])
+    a, b = np.flatnonzero(new), np.flatnonzero(over)
+    yield pa.RecordBatch.from_arrays([pa.array(uid[of[a]]), pa.array(place[a]), pa.array(place[b]), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.binary())], schema=_REPEATS)
+    open_ = np.flatnonzero(~repeated & hot[of])
+    view = np.lib.stride_tricks.sliding_window_view(text, SPAN) if len(open_) else None
+    for k in range(0, len(open_), 20_000):
+        own = open_[k : k + 20_000]
+        flat = np.ascontiguousarray(view[position[own]])
+        strings = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SPAN), len(own), [None, pa.py_buffer(flat)]).cast(pa.binary())
+        at = pa.array(place[own])
+        yield pa.RecordBatch.from_arrays([pa.array(uid[of[own]]), at, at, pa.array(doc[of[own]]), strings], schema=_REPEATS)
+
 
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key, document and place.  A shard ends where a key ends, but a hot key may go on in the next one."""
+    held: pa.Table | None = None
     for batch in batches:
-        known = batch.column(5).is_null()
-        yield pa.RecordBatch.from_arrays([c.filter(known) for c in batch.columns[2:5]], schema=_REPEATS)
-        fresh = pa.Table.from_batches([batch]).filter(pa.compute.is_valid(batch.column(5)))
-        while len(fresh):
-            # rows up to the size of a shard, then the rest
-            sizes = np.cumsum(pa.compute.binary_length(fresh.column(5)).to_numpy())
-            fits = max(1, int(np.searchsorted(sizes, SHARD - size, "right")))
-            if fits >= len(fresh) and size + int(sizes[-1]) < SHARD:
-                held.append(fresh)
-                size += int(sizes[-1])
+        known = batch.column("bytes").is_valid()
+        yield _ranges(pa.Table.from_batches([batch.filter(pa.compute.invert(known))]))
+        fresh, copies = distinct_contexts(pa.Table.from_batches([batch.filter(known)]))
+        yield _ranges(copies)
+        held = fresh if held is None else pa.concat_tables([held, fresh])
+        while len(held):
+            sizes = np.cumsum(pa.compute.binary_length(held.column("bytes")).to_numpy())
+            if sizes[-1] <= SHARD:
                 break
-            if size and size + int(sizes[0]) > SHARD:
-                yield work(pa.concat_tables(held), fresh.column(0)[0].as_py())
-                held, size = [], 0
-                continue
-            held.append(fresh[:fits])
-            fresh = fresh[fits:]
-            size += int(sizes[fits - 1])
-    if held:
-        yield work(pa.concat_tables(held), None)
+            fits = max(1, int(np.searchsorted(sizes, SHARD, "right")))
+            keys = held.column("key").to_numpy()
+            begin = int(np.argmax(keys == keys[fits]))  # the first row of the key that doesn't fit whole
+            cut = begin or fits
+            yield from _shard(held[:cut])
+            held = held[cut:]
+    if held is not None and len(held):
+        yield from _shard(held)
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Strings of all shards, sorted, equal ones by document and place: all but the first are repeats."""
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        strings = np.array(batch.column("string").to_pylist(), f"S{SPAN}")
+        repeated = np.searchsorted(strings, strings) < np.arange(len(strings))
+        repeated |= strings == before if before is not None else False
+        before = strings[-1]
+        yield _ranges_of(batch, repeated)
+
+
+def _ranges_of(batch: pa.RecordBatch, chosen: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(chosen)) for k in range(3)], schema=pa.schema(list(_REPEATS)[:3]))
 
 
 # --- documents ------------------------------------------------------------------------------
@@ -407,35 +460,31 @@ def to_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, i
     return out
 
 
-def _release(spark) -> None:
-    """Let Spark delete the shuffle files of what is written already."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def find_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list | None = None) -> DataFrame:
     """``__doc`` (doc_id), the columns ``carry``, ``__text``, and ``__ranges``: array<struct<first, last>> of repeated starts, or null."""
-    spark = docs.sparkSession
-    bound_batches(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bound_batches(docs.sparkSession)
+    buckets = tasks_for(docs)
     chosen = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.col(text).cast("string").alias("__text"), *(carry or []))
     rows = chosen.withColumn("__uid", F.monotonically_increasing_id()).repartition(buckets, "__uid")
     base = materialize_by(rows, "suffix-documents", "__uid", buckets)
-    _release(spark)
     runs = materialize(base.select("__uid", "__text").mapInArrow(_anchors, "uid long, first long, last long, hash long, kind byte"), "suffix-runs")
     meeting = runs.where("kind <> 1").repartition("hash").sortWithinPartitions("hash")
-    met = meeting.mapInArrow(_met, "uid long, first long, last long, hash long")
-    found = runs.where("kind = 1").drop("kind").union(met).repartition(buckets, "uid")
-    shared = materialize_by(found, "suffix-shared", "uid", buckets)
-    remove(runs)
-    _release(spark)
-    lists = shared.groupBy("uid").agg(F.collect_list(F.struct("first", "last", "hash")).alias("runs"))
+    met = materialize(meeting.mapInArrow(_met, "uid long, first long, last long, hash long, salts int"), "suffix-met")
+    hot = materialize(met.where("uid is null").select("hash", "salts"), "suffix-hot")  # by itself, so that its size is known
+    found = runs.where("kind = 1").union(met.where("uid is not null").withColumn("salts", F.lit(0).cast("byte"))).select("uid", "first", "last", "hash")
+    found = found.join(hot, "hash", "left").select("uid", "first", "last", "hash", F.coalesce("salts", F.lit(0)).alias("salts"))
+    shared = materialize_by(found.repartition(buckets, "uid"), "suffix-shared", "uid", buckets)
+    for made in (runs, met, hot):
+        remove(made)
+    lists = shared.groupBy("uid").agg(F.collect_list(F.struct("first", "last", "hash", "salts")).alias("runs"))
     order = F.coalesce("__doc", F.lit((1 << 63) - 1))
     joined = base.join(lists, base["__uid"] == lists["uid"]).select(order.alias("doc"), "__uid", "__text", "runs")
     contexts = joined.mapInArrow(_contexts, CONTEXT_DDL).repartition("key").sortWithinPartitions("key", "doc", "uid", "first")
-    repeats = materialize(contexts.mapInArrow(_shards, "uid long, first long, last long"), "suffix-repeats")
+    judged = materialize(contexts.mapInArrow(_shards, REPEATS_DDL), "suffix-repeats")
     remove(shared)
-    _release(spark)
+    strings = judged.where("string is not null").repartition("string").sortWithinPartitions("string", "doc", "uid", "first")
+    merged = strings.mapInArrow(_merge, "uid long, first long, last long")
+    repeats = judged.where("string is null").select("uid", "first", "last").union(merged)
     ranges = repeats.groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("__ranges"))
     return base.join(ranges, base["__uid"] == ranges["uid"], "left").drop("uid", "__uid")
 
