@@ -47,6 +47,43 @@ def test_scores_read_all_passages_alike(monkeypatch):
     assert np.allclose(alone, together) and np.allclose(q.score_texts(model, texts), together) and len(q.score_texts(model, [])) == 0
 
 
+def test_scores_equal_a_passage_by_passage_computation(spark):
+    """The model of the query, applied again in plain loops."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = q.fit(docs, labels)
+    got = {r.doc_id: r.score for r in q.op1_quality(spark, SF).collect()}
+    rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    longest = max(rows, key=lambda r: len(r.text or ""))
+    assert len(longest.text.encode()) > 30 * q.PASSAGE
+    for r in [*rows[::40], longest]:
+        raw, hidden, weight = (r.text or "").encode(), [], []
+        for k in range(0, max(1, len(raw)), q.PASSAGE):
+            part = raw[k : k + q.PASSAGE]
+            x = (q.features(part, np.array([len(part)]))[0] - model["mean"]) / model["scale"]
+            h = np.tanh(x @ model["W"] + model["b"])
+            gate = np.tanh(h @ model["V"]) * (1 / (1 + np.exp(-(h @ model["U"]))))
+            hidden.append(h)
+            weight.append(np.exp(gate @ model["w"]))
+        z = sum(a * h for a, h in zip(weight, hidden, strict=True)) / sum(weight)
+        assert got[r.doc_id] == pytest.approx(1 / (1 + np.exp(-(z @ model["c"] + model["c0"][0]))), abs=1e-6)
+
+
+def test_training_takes_rows_whole_up_to_its_bounds(spark, monkeypatch):
+    """Every passage of a chosen row is there, and no row is cut to fit."""
+    docs = spark.createDataFrame([(i, "ab " * (700 if i == 3 else 20)) for i in range(30)] + [(40, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)] + [(40, 0), (41, 1)], "doc_id long, quality int")
+    bags = {}
+    monkeypatch.setattr(q, "train", lambda b, y, **_: bags.update(n=[len(x) for x in b]))
+    free = [i for i in [*range(30), 40] if zlib.crc32(str(i).encode()) % 4 != 2]
+    q.fit(docs, labels)
+    assert sorted(bags["n"]) == sorted(4 if i == 3 else 1 for i in free)
+    q.fit(docs, labels, train_passages=7)
+    assert sum(bags["n"]) <= 7 and set(bags["n"]) <= {1, 4} and len(bags["n"]) >= 4
+    q.fit(docs, labels, train_docs=5)
+    assert len(bags["n"]) <= 5
+    assert q.fit(docs, labels, train_passages=0) is None
+
+
 def test_quality_of_edge_cases(spark, texts, frame_of):
     docs = frame_of(texts, score="clash")
     none = q.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
@@ -67,14 +104,11 @@ def product(x, y):
 
 
 def brute(rows, k, query):
-    best = {}
-    for i, x in rows:
-        if i is not None and x is not None and len(x) == 4 and all(c is not None and np.isfinite(c) for c in x) and any(x):
-            best[i] = min(best.get(i, tuple(x)), tuple(x))
+    kept = [(i, x) for i, x in rows if i is not None and x and all(c is not None and np.isfinite(c) for c in x) and any(x)]
     out = []
-    for i, x in best.items():
+    for a, (i, x) in enumerate(kept):
         if query(i):
-            near = sorted((-product(x, y), j) for j, y in best.items() if j != i)[:k]
+            near = sorted((-product(x, y), j) for b, (j, y) in enumerate(kept) if b != a and len(y) == len(x))[:k]
             out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(near)]
     return sorted(out)
 
@@ -83,12 +117,18 @@ def vectors():
     rng = random.Random(4)
     rows = [(i, [rng.gauss(0, 1) * (1 + i % 3) for _ in range(4)]) for i in range(900)]
     rows += [(1000 + i, rows[7][1]) for i in range(300)]  # one vector, many copies
+    rows += [(40, rows[40][1]), (40, [9.0, 0.0, 0.0, 0.0]), (61, rows[60][1])]  # repeated vec_ids, also of queries
+    rows += [(3000 + i, [rng.gauss(0, 1) for _ in range(2 + i % 2)]) for i in range(90)]  # other lengths
     return rows + [rows[3], (5, [9.0, 0.0, 0.0, 0.0]), (2000, None), (2020, [0.0] * 4), (2040, [1.0, None, 0.0, 0.0]), (2060, [1.0, float("nan"), 0.0, 0.0]), (2080, [float("inf"), 1.0, 0.0, 0.0]), (2100, [1.0]), (2120, []), (None, [1.0] * 4)]
 
 
-@pytest.mark.parametrize("shard_rows", [16_384, 300])
-def test_exact_search(spark, monkeypatch, shard_rows):
+@pytest.mark.parametrize("shard_rows, block, group", [(16_384, 256, 16), (300, 8, 2)])
+def test_exact_search(spark, monkeypatch, shard_rows, block, group):
+    """Several shards, blocks and groups; the extra columns clash with names used inside."""
+    monkeypatch.setattr(v, "BLOCK", block)
+    monkeypatch.setattr(v, "GROUP", group)
     df = spark.createDataFrame(vectors(), "vec_id long, embedding array<double>")
+    df = df.withColumns({c: F.lit("x") for c in ("vector", "norm", "row", "length", "shard", "score", "rank", "query_id", "asks")})
     got = sorted(tuple(r) for r in v.nearest(df, F.col("vec_id") % 20 == 0, 7, shard_rows=shard_rows).collect())
     assert got == brute(vectors(), 7, lambda i: i % 20 == 0)
 

@@ -8,9 +8,10 @@ the passages, and a logistic layer scores the weighted sum::
     h_k = tanh(W x_k + b)      a_k = softmax_k(w . (tanh(V h_k) * sigmoid(U h_k)))
     score = sigmoid(c . sum_k a_k h_k + c0)
 
-Training uses at most ``TRAIN_DOCS`` labelled rows, the first in the order of a hash
-of doc_id, and at most ``TRAIN_PASSAGES`` evenly spaced passages of each; both
-are bounds of the training sample only.  Scoring reads every passage of every
+Training uses a bounded sample of labelled rows, the first in the order of a hash of
+doc_id: at most ``train_docs`` of them, and only as many as have ``train_passages``
+passages together (both parameters of :func:`fit`), since the driver trains.  Every
+passage of a chosen row is encoded, as in scoring, which reads every passage of every
 document, in pieces of ``PIECE`` bytes.
 
 Edge cases: null and empty texts are one empty passage and get a score; labels
@@ -34,7 +35,7 @@ from tidemark.shared import bound_batches
 PASSAGE = 600
 PIECE = 1000 * PASSAGE
 TRAIN_DOCS = 4000
-TRAIN_PASSAGES = 24
+TRAIN_PASSAGES = 60_000
 CUTOFF = 0.7
 HIDDEN, GATE = 32, 16
 TRIGRAMS = 128
@@ -115,7 +116,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 120, rate: f
         return None
     everything = np.concatenate(bags)
     mean, scale = everything.mean(0, dtype=np.float64), everything.std(0, dtype=np.float64) + 0.02
-    bags = [(b - mean) / scale for b in bags]
+    bags = [((b - mean) / scale).astype(np.float32) for b in bags]
     p = initial()
     first, second, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
     rng = np.random.default_rng(1)
@@ -201,9 +202,8 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for text in batch.column(2).to_pylist():
             raw = (text or "").encode()
-            k = np.unique(np.linspace(0, max(0, (len(raw) - 1) // PASSAGE), TRAIN_PASSAGES).astype(np.int64))
-            parts = [raw[i * PASSAGE : (i + 1) * PASSAGE] for i in k]
-            out.append(features(b"".join(parts), np.array([len(p) for p in parts])).astype(np.float16).tobytes())
+            parts = [raw[k : k + PIECE] for k in range(0, max(1, len(raw)), PIECE)]
+            out.append(b"".join(features(p, passage_sizes(len(p))).astype(np.float16).tobytes() for p in parts))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "label", "bag"])
 
 
@@ -211,12 +211,24 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> dict[str, np.ndarray] | None:
-    """A model from labelled documents outside the held-out fold."""
-    bound_batches(docs.sparkSession)
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train_docs: int = TRAIN_DOCS, train_passages: int = TRAIN_PASSAGES) -> dict[str, np.ndarray] | None:
+    """A model from labelled documents outside the held-out fold; the sizes of ``train_docs`` rows and the features of ``train_passages`` passages come to the driver."""
+    spark = docs.sparkSession
+    bound_batches(spark)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).where(~held_out(F.col("doc_id")))
-    chosen = usable.select("doc_id", F.col(label).cast("double").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(TRAIN_DOCS)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long"), "label", "text")
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("label")]
+    first = usable.select(F.col("doc_id").cast("long"), F.col(label).cast("double").alias("label")).orderBy(*order).limit(train_docs)
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    passages = F.greatest(F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / PASSAGE), F.lit(1))
+    sized = texts.join(F.broadcast(first), "doc_id").groupBy("doc_id", "label").agg(F.sum(passages).alias("n"))
+    left, chosen = train_passages, []
+    for r in sized.orderBy(*order).collect():
+        if r.n <= left:  # a row is taken whole or not at all
+            left -= r.n
+            chosen.append((r.doc_id, r.label))
+    if not chosen:
+        return None
+    texts = texts.join(F.broadcast(spark.createDataFrame(chosen, "doc_id long, label double")), "doc_id").select("doc_id", "label", "text")
     rows = sorted(texts.mapInArrow(_bags, "doc_id long, label double, bag binary").collect(), key=lambda r: (r[0], r[1], bytes(r[2])))
     bags = [np.frombuffer(r.bag, np.float16).astype(np.float32).reshape(-1, FEATURES) for r in rows]
     return train(bags, np.array([float(r.label > 0) for r in rows]))

@@ -5,7 +5,7 @@ one more coordinate, sqrt(M^2 - |x|^2), that lifts it to a sphere of radius M
 (the largest norm); queries get 0 there.  Distances to a vantage point then follow
 from inner products alone.
 
-A shard (``SHARD`` rows, by the hash of vec_id) is a tree: a node splits its rows
+A shard (about ``SHARD`` rows, by a hash of the row) is a tree: a node splits its rows
 at the median distance to its vantage point and keeps the least and greatest
 distance of either half.  Every query first walks to the leaf it falls in; the
 20th best inner product found there bounds its radius.  Then all queries of a block
@@ -17,10 +17,15 @@ Inner products in the walk come from matrix products; the candidates within a
 rounding error of the 20th are computed again term by term, so that equal vectors
 have equal scores and ties go to the smaller vec_id.
 
-Queries meet shards in blocks of ``BLOCK``.  Edge cases: vectors that are null, empty, zero, or hold a
-null or non-finite component take no part, nor do those of another length than
-most vectors have, nor rows without vec_id; rows of equal vec_id are one (the
-smallest vector); an empty table gives an empty table; with fewer candidates all are returned.
+Queries meet shards in blocks of ``BLOCK``; a task has one tree and ``GROUP`` blocks, one
+after the other, so a tree is sent once for so many queries.
+
+Edge cases: vectors that are null, empty, zero, or hold a null or non-finite component
+take no part, nor do rows without vec_id.  A query is a row, and every other row is a
+candidate, one of the same vec_id as well; so a repeated vec_id is asked for each of
+its rows, and equal results come once for each.  Vectors meet those of their own length
+only.  Extra columns are not read; an empty table gives an empty table; with fewer
+candidates all are returned.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,13 +44,15 @@ from tidemark.shared import bound_batches, materialize
 SHARD = 16_384
 BLOCK = 256
 LEAF = 256
+GROUP = 16
 OUT = "query_id long, rank int, vec_id long, score double"
 
 
-def build(ids: np.ndarray, vectors: np.ndarray, top: float) -> dict[str, np.ndarray]:
-    """A tree over these rows; ``top`` is the largest squared norm of all shards."""
+def build(ids: np.ndarray, vectors: np.ndarray, top: float, rows: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """A tree over these vectors; ``top`` is the largest squared norm of all shards, ``rows`` tells rows of equal vec_id apart."""
     n = len(ids)
-    order = np.argsort(ids, kind="stable")
+    own = ids if rows is None else rows
+    order = np.lexsort((own, ids))
     nodes: list[list[float]] = []  # begin, end, vantage row, left, right, then least and greatest distance of either half
     extra = np.sqrt(np.maximum(top - (vectors * vectors).sum(1), 0))
     stack = [(0, n, -1, 0)]
@@ -56,12 +64,12 @@ def build(ids: np.ndarray, vectors: np.ndarray, top: float) -> dict[str, np.ndar
             nodes[parent][3 + side] = me
         if end - begin <= LEAF:
             continue
-        rows = order[begin:end]
-        centre, level = vectors[rows].mean(0), extra[rows].mean()
-        v = rows[int(np.argmax(((vectors[rows] - centre) ** 2).sum(1) + (extra[rows] - level) ** 2))]
-        far = np.sqrt(np.maximum(2 * top - 2 * (vectors[rows] @ vectors[v] + extra[rows] * extra[v]), 0))
+        held = order[begin:end]
+        centre, level = vectors[held].mean(0), extra[held].mean()
+        v = held[int(np.argmax(((vectors[held] - centre) ** 2).sum(1) + (extra[held] - level) ** 2))]
+        far = np.sqrt(np.maximum(2 * top - 2 * (vectors[held] @ vectors[v] + extra[held] * extra[v]), 0))
         by = np.argsort(far, kind="stable")
-        order[begin:end], far = rows[by], far[by]
+        order[begin:end], far = held[by], far[by]
         half = (end - begin) // 2
         nodes[me][2] = v
         nodes[me][5:] = [far[0], far[half - 1], far[half], far[-1]]
@@ -71,7 +79,7 @@ def build(ids: np.ndarray, vectors: np.ndarray, top: float) -> dict[str, np.ndar
     place[order] = np.arange(n)
     inner = table[:, 2] >= 0
     table[inner, 2] = place[table[inner, 2].astype(np.int64)]
-    return {"ids": ids[order], "vectors": vectors[order], "nodes": table, "top": np.array(top)}
+    return {"ids": ids[order], "rows": own[order], "vectors": vectors[order], "nodes": table, "top": np.array(top)}
 
 
 def exact(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -82,9 +90,9 @@ def exact(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return total
 
 
-def search(tree: dict[str, np.ndarray], query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Up to k rows of this shard for each query: query number, vec_id, score."""
-    ids, vectors, nodes, top = tree["ids"], tree["vectors"], tree["nodes"], float(tree["top"])
+def search(tree: dict[str, np.ndarray], query_rows: np.ndarray, queries: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Up to k rows of this shard for each query (a row that is no candidate of its own): query number, vec_id, score."""
+    ids, own, vectors, nodes, top = tree["ids"], tree["rows"], tree["vectors"], tree["nodes"], float(tree["top"])
     m = len(queries)
     square = (queries * queries).sum(1)
     best = np.full((m, k), -np.inf)
@@ -98,7 +106,7 @@ def search(tree: dict[str, np.ndarray], query_ids: np.ndarray, queries: np.ndarr
     def leaf(who: np.ndarray, node: int, collect: bool) -> None:
         begin, end = int(nodes[node, 0]), int(nodes[node, 1])
         scores = queries[who] @ vectors[begin:end].T
-        scores[query_ids[who][:, None] == ids[begin:end][None, :]] = -np.inf
+        scores[query_rows[who][:, None] == own[begin:end][None, :]] = -np.inf
         if collect:
             q, r = np.nonzero(scores >= (best[who, 0] - slack[who])[:, None])
             live = scores[q, r] > -np.inf
@@ -148,52 +156,67 @@ def _blob(**arrays: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    ids = table.column("vec_id").to_numpy()
+def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """vec_id, row and vector."""
     flat = table.column("vector").combine_chunks()
     flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
-    return ids, flat.flatten().to_numpy().reshape(len(ids), -1)
+    return table.column("vec_id").to_numpy(), table.column("row").to_numpy(), flat.flatten().to_numpy().reshape(table.num_rows, -1)
+
+
+def _walker(k: int, factor: float):
+    """Of rows sorted by unit, the tree of each before its blocks: the neighbours of the blocks' queries in that tree."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = None
+        for batch in batches:
+            for is_block, data in zip(batch.column("is_block").to_pylist(), batch.column("data"), strict=True):
+                found = dict(np.load(io.BytesIO(data.as_py())))
+                if not is_block:
+                    tree = found
+                    continue
+                q, ids, score = search(tree, found["rows"], found["vectors"], k, factor)
+                yield pa.RecordBatch.from_arrays([pa.array(found["ids"][q]), pa.array(found["rows"][q]), pa.array(ids), pa.array(score)], ["query_id", "query_row", "vec_id", "score"])
+
+    return walk
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, factor: float = 1.0, shard_rows: int = SHARD) -> DataFrame:
-    """The k nearest of every row for which ``is_query``; columns query_id, rank, vec_id, score.
+    """The k nearest of every row for which ``is_query`` (a condition on vec_id); columns query_id, rank, vec_id, score.
 
-    ``vectors``: vec_id and embedding.  The driver gets a count per vector length.
+    ``vectors``: vec_id and embedding.  Everything is by length of the vectors, in tables of a row per length.
     """
-    spark = vectors.sparkSession
-    bound_batches(spark)
+    bound_batches(vectors.sparkSession)
     wide = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector")).where("vec_id is not null and size(vector) > 0")
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     wide = wide.where(sound & F.exists("vector", lambda x: x != 0))
-    wide = wide.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    base = materialize(wide.withColumn("norm", norm), "vectors")
-    sizes = base.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n"), F.max("norm").alias("top"), F.count_if(is_query).alias("queries")).collect()
-    if not sizes:
-        return spark.createDataFrame([], OUT)
-    length, n, top, asked = max(sizes, key=lambda r: (r.n, -r.length))
-    shards, blocks = -(-n // shard_rows), max(1, -(-asked // BLOCK))
-    base = base.where(F.size("vector") == length).select("vec_id", "vector")
+    asks = F.coalesce(is_query, F.lit(False)).alias("asks")
+    base = materialize(wide.select("vec_id", "vector", F.size("vector").alias("length"), norm.alias("norm"), asks, F.monotonically_increasing_id().alias("row")), "vectors")
+    whole = F.ceil(F.count("*") / shard_rows).cast("long")
+    sizes = materialize(base.groupBy("length").agg(whole.alias("shards"), F.max("norm").alias("top"), F.ceil(F.count_if("asks") / BLOCK).cast("long").alias("blocks")), "vector-lengths")
 
     def plant(key: tuple, table: pa.Table) -> pa.Table:
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "tree": pa.array([_blob(**build(*_columns(table), top))], pa.binary())})
+        ids, rows, own = _columns(table)
+        top = float(pc.max(table.column("top")).as_py())
+        return pa.table({"length": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int64()), "tree": pa.array([_blob(**build(ids, own, top, rows))], pa.binary())})
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
-        ids, rows = _columns(table)
-        return pa.table({"block": pa.array([_blob(ids=ids, vectors=rows)], pa.binary())})
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tree, block in zip(batch.column(0), batch.column(1), strict=True):
-                tree, block = (dict(np.load(io.BytesIO(x.as_py()))) for x in (tree, block))
-                q, ids, score = search(tree, block["ids"], block["vectors"], k, factor)
-                yield pa.RecordBatch.from_arrays([pa.array(block["ids"][q]), pa.array(ids), pa.array(score)], ["query_id", "vec_id", "score"])
-
-    trees = materialize(base.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard")).applyInArrow(plant, "shard long, tree binary"), "vantage-trees")
-    asking = base.where(is_query).groupBy(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("b")).applyInArrow(gather, "block binary")
-    everywhere = asking.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    met = everywhere.join(trees, "shard").select("tree", "block").mapInArrow(look, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        ids, rows, own = _columns(table)
+        return pa.table({"length": pa.array([key[0].as_py()], pa.int32()), "b": pa.array([key[1].as_py()], pa.int64()), "block": pa.array([_blob(ids=ids, rows=rows, vectors=own)], pa.binary())})
+
+    dealt = base.select("vec_id", "row", "vector", "length", "asks").join(sizes, "length")
+    shard = F.pmod(F.xxhash64("row"), F.col("shards")).alias("shard")
+    trees = materialize(dealt.select("vec_id", "row", "vector", "length", "top", shard).groupBy("length", "shard").applyInArrow(plant, "length int, shard long, tree binary"), "vantage-trees")
+    block = F.pmod(F.xxhash64("row", F.lit(1)), F.col("blocks")).alias("b")
+    asking = materialize(dealt.where("asks").select("vec_id", "row", "vector", "length", block).groupBy("length", "b").applyInArrow(gather, "length int, b long, block binary"), "vector-blocks")
+    # a unit of work is a tree and a group of blocks
+    last = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    groups = F.ceil(F.col("blocks") / GROUP).cast("long")
+    told = trees.join(sizes.where("blocks > 0"), "length").select("length", "shard", last(groups).alias("g"), F.lit(False).alias("is_block"), F.col("tree").alias("data"))
+    asked = asking.join(sizes, "length").select("length", last(F.col("shards")).alias("shard"), F.floor(F.col("b") / GROUP).cast("long").alias("g"), F.lit(True).alias("is_block"), F.col("block").alias("data"))
+    units = told.union(asked).repartition("length", "shard", "g").sortWithinPartitions("length", "shard", "g", "is_block")
+    met = units.select("is_block", "data").mapInArrow(_walker(k, factor), "query_id long, query_row long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -204,14 +227,13 @@ def op3_neighbours(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 with v as (
-  select vec_id, min(embedding::double[]) as v from embeddings
+  select vec_id, embedding::double[] as v, row_number() over () as n from embeddings
   where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-    and len(list_filter(embedding, lambda x: x <> 0)) > 0
-  group by vec_id),
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 s as (
-  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) as score
-  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
+  select q.n, q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) as score
+  from v q join v c on q.vec_id % 20 = 0 and c.n <> q.n and len(c.v) = len(q.v)),
 r as (
-  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+  select *, row_number() over (partition by n order by score desc, vec_id)::int as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 20
 """
