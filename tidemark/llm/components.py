@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.shared import materialize, remove
+
 
 def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     """Every node links its larger neighbours (or itself and its smaller ones) to the smallest of them and itself."""
@@ -25,12 +27,18 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(a, b) per node a that is not the smallest of its component: b is the smallest.
 
-    ``edges`` has the integer columns a and b.  Each round is checkpointed in the
-    shared folder; two numbers per round come to the driver.
+    ``edges`` has the integer columns a and b and is a written table.  Each round is
+    written to the shared folder and read twice by the next; two numbers per round come to
+    the driver.  The rounds grow with the logarithm of the longest chain; should
+    ``rounds`` not do, an error is raised and nothing is returned.
+
+    A node of many links is one key of the join in ``_stars``: its least neighbour is one
+    row on one side, so adaptive execution splits the other side's partition.
     """
     state = None
     for _ in range(rounds):
-        edges = _stars(_stars(edges, larger=True), larger=False).checkpoint()
+        before, edges = edges, materialize(_stars(_stars(edges, larger=True), larger=False), "component-edges")
+        remove(before)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
         if now == state:
             return edges

@@ -181,7 +181,7 @@ def link_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     base = materialize(slim.withColumn("__row", F.monotonically_increasing_id()), "simhash")
     mine = F.struct(F.col("__doc").isNull().alias("none"), F.col("__doc").alias("doc"), F.col("__row").alias("row"))
     nodes = base.groupBy("fp").agg(F.min(mine).alias("least"))
-    roots = connected(links(nodes.select("fp")))
+    roots = connected(materialize(links(nodes.select("fp")), "simhash-links"))
     placed = materialize(nodes.join(roots.select(F.col("a").alias("fp"), "b"), "fp", "left").withColumn("root", F.coalesce("b", "fp")).drop("b"), "simhash-nodes")
     components = placed.groupBy("root").agg(F.min("least").alias("best"))
     of = placed.select("fp", "root").join(components, "root").select("fp", F.col("best.doc").alias("component_id"), F.col("best.row").alias("best_row"))
