@@ -2,33 +2,44 @@
 
 Every shard owns ``virtual_nodes`` points of a ring of 65,536 slots; a row belongs
 to the arc that ends at the first point at or after its own slot.  Each shard has
-a capacity, and the capacities add up to the number of rows and differ by one at
-most.  Rows that find their shard full continue clockwise to the next point
-whose shard has room.
+a capacity: ``load`` times its share of the rows, and at a load of 1 the capacities add
+up to the number of rows and differ by one at most (the law ``rows``).  Rows that find
+their shard full continue clockwise to the next point whose shard has room.  A greater
+load lets more rows stay with their arc, so that another shard moves fewer.
 
 Walking the ring row by row would be sequential.  Rows of one arc are
 interchangeable except for their order, so the walk runs on the *counts* of the
 arcs (``shards * virtual_nodes`` of them, whatever the input size) and yields
 segments: "rows 120 to 300 of arc 17 go to shard 5, from slot 40".  A row's rank
 within its arc is the count of the ring slots before its own plus its rank in its
-own slot, so that a window never holds more than one slot, a 65,536th of the rows.
+own slot.  A slot with over ``HOT`` of the rows (one key may hold a third of them) is cut
+by the tasks that wrote its rows, into ``PARTS`` at most, so that no window holds it whole.
+
+Groups: under the law ``rows`` equal texts need not stay together.  Each row has its
+place by its key, and rows of equal texts differ in theirs.
 
 Edge cases: a null or repeated key has a hash like any other; ties are broken by
-the hash of the whole row's text, and rows that are equal in both are
-interchangeable.  Null text counts as empty.  An empty table gives an empty
-table.  Other columns, also clashing ones, are kept aside and not touched.
+``order``, then by where the row was read.  Null text counts as empty, and a text of any
+length is one row.  An empty table gives an empty table.  Columns named ``shard`` or ``slot`` are
+replaced, others are kept.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.shared import materialize
+
 RING = 1 << 16
+HOT = 1 / 1024
+HOT_ROWS = 10_000
+PARTS = 64
 
 
 def ring_points(shards: int, virtual_nodes: int) -> list[tuple[int, int]]:
@@ -77,79 +88,52 @@ def walk(counts: dict[int, int], points: list[tuple[int, int]], capacity: list[i
     return segments
 
 
-def shard_rows(df: DataFrame, key: str, order: list[Column], shards: int = 8, virtual_nodes: int = 64) -> DataFrame:
+def shard_rows(df: DataFrame, key: str, order: list[Column], shards: int = 8, virtual_nodes: int = 64, load: float = 1.0) -> DataFrame:
     """Add ``shard`` (0 to shards-1) and ``slot`` (gapless from 0 in each shard).
 
-    ``order`` breaks ties between rows of equal key.  One count per ring slot
-    comes to the driver and one row per ring slot is broadcast: 65,536 at most,
-    whatever the input size.
+    ``order`` breaks ties between rows of equal key.  ``df`` is written once, so it
+    should be narrow.  Counts of ring slots come to the driver, and as many rows are
+    broadcast: 65,536, and ``PARTS`` for each of the 1,024 hot slots at most, whatever the input size.
     """
+    if load < 1:
+        raise ValueError("shards of a load below 1 don't hold all rows")
     spark = df.sparkSession
     points = ring_points(shards, virtual_nodes)
     places = [p for p, _ in points]
-    tagged = df.withColumn("__h", key_hash(F.col(key))).withColumn("__place", F.shiftright("__h", 44).cast("int"))
-    counted = sorted((r[0], r[1]) for r in tagged.groupBy("__place").count().collect())
+    tagged = df.drop("shard", "slot").withColumn("__h", key_hash(F.col(key))).withColumn("__row", F.monotonically_increasing_id())
+    tagged = materialize(tagged.withColumn("__place", F.shiftright("__h", 44).cast("int")), "ring")
+    counted = dict(tuple(r) for r in tagged.groupBy("__place").count().collect())
+    total = sum(counted.values())
+    hot = [p for p, n in counted.items() if n > max(HOT_ROWS, total * HOT)]
+    part = F.pmod(F.shiftright("__row", 33), F.lit(PARTS)).cast("int")
+    tagged = tagged.withColumn("__part", F.when(F.col("__place").isin(hot), part).otherwise(0) if hot else F.lit(0))
+    cells = [(p, 0, n) for p, n in counted.items() if p not in set(hot)]
+    cells += [tuple(r) for r in tagged.where(F.col("__place").isin(hot)).groupBy("__place", "__part").count().collect()] if hot else []
+    # in the order of the ring, from the start of arc 0, which lies behind the last point
     per_arc: dict[int, int] = {}
-    starts = []  # ring slot, its arc, rank in the arc of its first row, rows
-    for place, n in sorted(counted, key=lambda x: (bisect_left(places, x[0]), x[0])):
+    starts = []  # ring slot, its part, its arc, rank in the arc of its first row, rows
+    for place, p, n in sorted(cells, key=lambda c: (c[0] <= places[-1], c[0], c[1])):
         arc = bisect_left(places, place) % len(places)
-        starts.append((place, arc, per_arc.get(arc, 0), n))
+        starts.append((place, p, arc, per_arc.get(arc, 0), n))
         per_arc[arc] = per_arc.get(arc, 0) + n
-    # the arc across zero begins behind the last point: those ranks come first
-    if per_arc.get(0):
-        behind = [x for x in starts if x[1] == 0 and x[0] > places[-1]]
-        ahead = [x for x in starts if x[1] == 0 and x[0] <= places[-1]]
-        at, fixed = 0, []
-        for place, arc, _, n in behind + ahead:
-            fixed.append((place, arc, at, n))
-            at += n
-        starts = [x for x in starts if x[1] != 0] + fixed
-    total = sum(per_arc.values())
-    capacity = [total // shards + (s < total % shards) for s in range(shards)]
+    capacity = [total // shards + (s < total % shards) if load == 1 else math.ceil(load * total / shards) for s in range(shards)]
     by_arc: dict[int, list] = {}
     for arc, first, last, shard, slot in sorted(walk(per_arc, points, capacity)):
         by_arc.setdefault(arc, []).append((first, last, shard, slot - first))
     lookup = spark.createDataFrame(
-        [(place, at, [(last, shard, shift) for first, last, shard, shift in by_arc[arc] if first < at + n and last >= at]) for place, arc, at, n in starts],
-        T.StructType.fromDDL("__place int, __from long, __segments array<struct<last:long,shard:int,shift:long>>"),
+        [(place, p, at, [(last, shard, shift) for first, last, shard, shift in by_arc[arc] if first < at + n and last >= at]) for place, p, arc, at, n in starts],
+        T.StructType.fromDDL("__place int, __part int, __from long, __segments array<struct<last:long,shard:int,shift:long>>"),
     )
-    ranked = tagged.withColumn("__rank", F.row_number().over(Window.partitionBy("__place").orderBy("__h", *order)) - F.lit(1))
-    joined = ranked.join(F.broadcast(lookup), "__place").withColumn("__rank", F.col("__from") + F.col("__rank"))
+    ranked = tagged.withColumn("__rank", F.row_number().over(Window.partitionBy("__place", "__part").orderBy("__h", *order, "__row")) - F.lit(1))
+    joined = ranked.join(F.broadcast(lookup), ["__place", "__part"]).withColumn("__rank", F.col("__from") + F.col("__rank"))
     return (
         joined.withColumn("__segment", F.filter("__segments", lambda s: s["last"] >= F.col("__rank"))[0])
         .withColumn("shard", F.col("__segment.shard"))
         .withColumn("slot", F.col("__rank") + F.col("__segment.shift"))
-        .drop("__h", "__place", "__rank", "__from", "__segments", "__segment")
+        .drop("__h", "__place", "__part", "__row", "__rank", "__from", "__segments", "__segment")
     )
 
 
-def shard_brute(keys: list, shards: int = 8, virtual_nodes: int = 64) -> list[int]:
-    """The same walk row by row, for tests: the shard of each key, in the order of ``keys``."""
-    points = ring_points(shards, virtual_nodes)
-    places = [p for p, _ in points]
-    hashes = [int(hashlib.md5(("null" if k is None else str(k)).encode()).hexdigest()[:15], 16) for k in keys]
-    arc = [bisect_left(places, h >> 44) % len(points) for h in hashes]
-    n = len(keys)
-    room = [n // shards + (s < n % shards) for s in range(shards)]
-    out: list = [None] * n
-    waiting = []
-    # ring order from the start of arc 0, which lies behind the last point
-    for i in sorted(range(n), key=lambda i: (arc[i], (hashes[i] >> 44) <= places[-1], hashes[i], i)):
-        shard = points[arc[i]][1]
-        if room[shard]:
-            room[shard] -= 1
-            out[i] = shard
-        else:
-            waiting.append(i)
-    for i in waiting:
-        at = arc[i]
-        while not room[points[at][1]]:
-            at = (at + 1) % len(points)
-        room[points[at][1]] -= 1
-        out[i] = points[at][1]
-    return out
-
-
 def op5_sharding(spark, sf_dir: str) -> DataFrame:
     """All documents in eight shards, counts at most one apart."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
