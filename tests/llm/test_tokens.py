@@ -1,10 +1,14 @@
+import functools
 import zlib
 from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -31,7 +35,7 @@ def test_units_are_encoded_alone_as_in_the_whole(rank_encoder, text):
 
 
 def test_encode_and_decode_equal_the_library(spark, texts, frame_of, rank_encoder):
-    got = word_bpe.encode_documents(frame_of(texts), RANKS, public_tokenizers.PATTERN, ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"], buckets=3).collect()
+    got = word_bpe.encode_documents(frame_of(texts, chunk=1, bucket=2, place=3, tag=4), RANKS, public_tokenizers.PATTERN, ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"], buckets=3).collect()
     want = []
     for doc_id, text in texts:
         ids = rank_encoder.encode_ordinary(text or "")
@@ -41,30 +45,70 @@ def test_encode_and_decode_equal_the_library(spark, texts, frame_of, rank_encode
     assert sorted(((r.doc_id, r.n_tokens, bytes(r.ids), r.ids_sha256, bytes(r.decoded), r.decoded_sha256) for r in got), key=key) == sorted(want, key=key)
 
 
-def test_chunks_of_any_size_give_the_same(spark, texts, frame_of, monkeypatch):
-    rows = [w for w in word_bpe.cut_chunk(1, [1, 2], ["b a", "a  b"], 2)]
-    assert rows[0]["counts"] == [2, 2] and sum(len(word_bpe.unpack(r["words"])) for r in rows[1:]) == 4
+@pytest.mark.parametrize("chars, buckets", [(1, 1), (60, 4), (5000, 2)])
+def test_chunks_of_any_size_give_the_same(spark, texts, rank_encoder, chars, buckets, monkeypatch):
+    """Every step of the operator by hand, with several chunks in a task."""
+    import regex
+
+    split, rows = regex.compile(public_tokenizers.PATTERN).findall, []
+    held, chunks = [], []
+    for k, (doc_id, text) in enumerate(texts):
+        held.append((doc_id, k, text))
+        if sum(len(t or "") for _, _, t in held) >= chars:
+            chunks.append(held)
+            held = []
+    chunks.append(held)
+    for c, held in enumerate(c for c in chunks if c):
+        rows += word_bpe.cut_chunk(c, held, buckets, split)
+    words = sorted((r for r in rows if r["bucket"] is not None), key=lambda r: r["bucket"])
+    batches = [pa.RecordBatch.from_pylist([{n: r[n] for n in ("chunk", "bucket", "words")} for r in words[k : k + 3]]) for k in range(0, len(words), 3)]
+    ids = pa.Table.from_batches(list(word_bpe.word_encoder(RANKS, public_tokenizers.PATTERN)(iter(batches))))
+    assemble, got = word_bpe.assembler(RANKS, ["doc_id", "place", "n_tokens", "ids"]), []
+    for r in rows:
+        if r["bucket"] is None:
+            left = pa.Table.from_pylist([r], word_bpe._CHUNK)
+            got += assemble(left, ids.filter(pc.equal(ids.column("chunk"), r["chunk"]))).to_pylist()
+    want = [rank_encoder.encode_ordinary(t or "") for _, t in texts]
+    assert [(r["doc_id"], r["place"], r["ids"]) for r in got] == [(d, k, np.array(w, "<u4").tobytes()) for k, ((d, _), w) in enumerate(zip(texts, want, strict=True))]
+
+
+def test_words_are_matches_of_the_pattern():
+    import regex
+
+    split = regex.compile(public_tokenizers.PATTERN).findall
+    texts = ["don't stop, it's 12 o'clock!", "well, stop it  now\n\nor é\u4e16界x"]
+    rows = word_bpe.cut_chunk(1, [(1, None, texts[0]), (2, None, texts[1])], 2, split)
+    words = {w.decode() for r in rows[1:] for w in word_bpe.unpack(r["words"])}
+    assert {"don", "'t", " stop", ",", " 12", "clock", "or"} <= words and not {" stop,", " 12 o"} & words
+    assert rows[0]["counts"].tolist()[0] == len(split(texts[0]))
 
 
 def test_empty_tables(spark, frame_of):
     assert word_bpe.encode_documents(frame_of([]), RANKS, public_tokenizers.PATTERN).collect() == []
     folder = new_path(spark, "t")
-    assert token_records.write_records(frame_of([]), JSON, folder) == []
+    assert token_records.write_records(frame_of([], h=1, n=2), JSON, folder) == []
     assert token_records.read_records(spark, folder, []).collect() == []
 
 
-def test_records_hold_the_ids_in_order(spark, texts, frame_of):
+@pytest.mark.parametrize("size", [token_records.READ_BYTES, 100])
+def test_records_hold_the_ids_in_order(spark, texts, frame_of, size):
+    """Records larger than what is read at once, texts that hold an added token, and columns named like the results."""
+    texts = [*texts, (901, "a <|endoftext|> b"), (902, "<|endoftext|><|endoftext|>"), (903, " x<|endoftext|>  "), (903, "other"), (903, None)]
+    frame_of = functools.partial(frame_of, start=1, n_tokens=2, h=3, n=4)
     folder = new_path(spark, "t")
     manifest = token_records.write_records(frame_of(texts), JSON, folder)
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     want, at = [], 0
-    for doc_id, text in sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    place = lambda r: (r[0] is not None, r[0] or 0, 42 if r[1] is None else int(np.uint64(xxhash.xxh64_intdigest(r[1].encode(), 42)).view(np.int64)))
+    for doc_id, text in sorted(texts, key=place):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
         want.append((doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
     got = sorted((tuple(r) for r in token_records.read_records(spark, folder, manifest).collect()), key=lambda r: r[1])
     assert got == want
+    files, base = token_records.filesystem(folder)
+    small = [zlib.crc32(ids.tobytes()) for n, _, _ in manifest for _, ids in token_records.read_frames(files, f"{base}/part-{n:06d}", size)]
+    assert small == [w[3] for w in want]
     number, docs, _ = manifest[-1]
     doc_id, ids = token_records.read_record(folder, number, docs - 1)
     assert doc_id == want[-1][0] and zlib.crc32(ids.tobytes()) == want[-1][3]

@@ -14,16 +14,20 @@ of data that holds checksums stays useful.  The index file holds one unsigned
 shuffles seeks to any record without reading those before it.
 
 Documents are dealt by ranges of doc_id and sorted, so the files in the order of
-their numbers hold the documents in ascending order (null first; rows of equal doc_id by text).
+their numbers hold the documents in ascending order (null first; rows of equal doc_id by
+a hash of the text, so that many of them are dealt as well); files are as many as the input asks for.
 A task writes under a name of its own attempt and renames at the end; a repeated
 task writes the same bytes.  Files are opened by pyarrow.fs in the shared folder.
 
-Encoding is the tokenizers library's.  Text is cut where its pre-tokenizer always
-cuts, and a worker remembers the ids of up to ``REMEMBER`` pieces.
+Encoding is the tokenizers library's, as it is by default: the strings of its added
+tokens are those tokens wherever they occur, and such a text goes to the library whole.
+Any other text is cut where the pre-tokenizer always cuts, a worker remembers the ids
+of up to ``REMEMBER`` pieces, and new pieces go to the library.
 
 Edge cases: null and empty texts are records with the end id alone; repeated rows
-are records each; an empty table writes no files and gives an empty table; other
-columns are not read.
+are records each; a text of any length is one record, and the reader takes at least one
+record at a time; an empty table writes no files and gives an empty table; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -42,8 +46,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.units import unit_text, units
-from tidemark.shared import bound_batches, new_path
+from tidemark.llm.units import plain, unit_text, units
+from tidemark.shared import bound_batches, new_path, tasks_for
 
 REMEMBER = 600_000
 READ_BYTES = 8 << 20
@@ -76,10 +80,6 @@ def unframe(data: bytes, at: int = 0) -> tuple[int | None, np.ndarray, int]:
     return (doc_id if known else None), np.frombuffer(payload, f"<u{width}", -1, KEY.size).astype("<u4"), at + length + 16
 
 
-#: Characters whose class no version of Unicode changes, so that the pattern splits them alike everywhere.
-_PLAIN = re.compile(r"[\n -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*\Z")
-
-
 def byte_letters() -> dict[int, str]:
     """The letters that a byte-level vocabulary writes bytes with: printable ones stand for themselves, others follow from 256 on."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -101,11 +101,12 @@ def encoder(tokenizer_path: str):
     from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True  # their strings are ordinary text here
+    added = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+    holds_added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
     kind = repr(tokenizer.pre_tokenizer)
     direct = isinstance(tokenizer.pre_tokenizer, ByteLevel) and tokenizer.normalizer is None and "use_regex=True" in kind and "add_prefix_space=False" in kind
     split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-    letters, tokenize, plain = byte_letters(), tokenizer.model.tokenize, _PLAIN.match
+    letters, tokenize = byte_letters(), tokenizer.model.tokenize
     pack = [struct.pack("<I", i) for i in range(tokenizer.get_vocab_size())]
     gap = letters[32]
 
@@ -116,13 +117,16 @@ def encoder(tokenizer_path: str):
             written = word.encode().decode("latin-1").translate(letters)
         return b"".join([pack[t.id] for t in tokenize(written)])
 
+    def whole(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     class Known(dict):
         """Ids by unit.  The first to be met are mostly the frequent ones, so a full table keeps its older half."""
 
         def __missing__(self, unit) -> bytes:
             text = unit_text(unit)
-            if not direct or not plain(text):
-                ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            if not plain(text):
+                ids = whole(text)
             elif isinstance(unit, str) and (core := unit.rstrip(punctuation)).isalpha():
                 # a word and what follows it: two matches
                 ids = self[core] + self[(unit[len(core) :],)] if len(core) < len(unit) else word_ids(text)
@@ -140,7 +144,12 @@ def encoder(tokenizer_path: str):
 
     def encode(texts: list[str | None]) -> Iterator[bytes]:
         for text in texts:
-            yield b"".join([known[u] for u in units(text or "")])
+            if not text:
+                yield b""
+            elif not direct or holds_added(text):
+                yield whole(text)
+            else:
+                yield b"".join([known[u] for u in units(text)])
 
     return encode
 
@@ -183,24 +192,24 @@ def writer(tokenizer_path: str, folder: str, end_id: int):
 
 
 def write_records(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0) -> list[tuple[int, int, int]]:
-    """Write all documents to ``folder``; (file number, documents, tokens) of each file in order, a row per shuffle partition."""
+    """Write all documents to ``folder``; (file number, documents, tokens) of each file in order, which come to the driver."""
     spark = docs.sparkSession
     bound_batches(spark, megabytes=4)
     files, base = filesystem(folder)
     files.create_dir(base, recursive=True)
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    dealt = slim.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
+    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.monotonically_increasing_id().alias("n"))
+    dealt = slim.repartitionByRange(tasks_for(docs), "doc_id", "h", "n").sortWithinPartitions("doc_id", "h", "n").select("doc_id", "text")
     return sorted(tuple(r) for r in dealt.mapInArrow(writer(tokenizer_path, folder, end_id), "number long, docs long, tokens long").collect())
 
 
-def read_frames(files, name: str) -> Iterator[tuple[int | None, np.ndarray]]:
-    """All records of a file in order, by its index, a few MB at a time."""
+def read_frames(files, name: str, size: int = READ_BYTES) -> Iterator[tuple[int | None, np.ndarray]]:
+    """All records of a file in order, by its index, about ``size`` bytes at a time, and one record at least."""
     with files.open_input_stream(f"{name}.idx") as f:
         offsets = np.frombuffer(f.read(), "<u8").astype(np.int64)
     first = 0
     with files.open_input_file(f"{name}.rec") as f:
         while first < len(offsets) - 1:
-            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + READ_BYTES, "right")) - 1)
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
             f.seek(int(offsets[first]))
             data = f.read(int(offsets[last] - offsets[first]))
             for k in range(first, last):

@@ -14,7 +14,8 @@ So the counts of the parts add up to the tokens of the document.
 
 Edge cases: null and empty texts are one empty part without tokens; an empty part (a field without text) has
 none; repeated rows give their rows each; texts of any length are encoded whole;
-an empty table gives an empty table; only the named columns are read.
+an empty table gives an empty table; only the named columns are read,
+whatever the names of others.
 """
 
 from __future__ import annotations
@@ -69,10 +70,13 @@ def _counter(tokenizer_path: str, rule: str, split):
         from tokenizers import Tokenizer
 
         encode = encoder(tokenizer_path)
-        vocabulary = Tokenizer.from_file(tokenizer_path).get_vocab()
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        vocabulary, added = tokenizer.get_vocab(), tokenizer.get_added_tokens_decoder()
         size = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             size[i] = len(token)  # a byte-level vocabulary writes one character for each byte
+        for i, token in added.items():
+            size[i] = len(token.content.encode())  # but added tokens are written as they are
         for batch in batches:
             ids, cut = batch.column(0).to_pylist(), [split(cell or "") for cell in batch.column(1).to_pylist()]
             columns: list[list[np.ndarray]] = [[] for _ in range(5)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 
 _ODD = re.compile(r" \s| \Z")
+#: Characters whose class no version of Unicode changes, so that every library splits them alike.
+plain = re.compile(r"[\n -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*\Z").match
 _CUT = re.compile(r" (?=\S)")
 
 

@@ -1,24 +1,26 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-1. ``cut``: documents are read in chunks of a few MB.  Each is cut into words (pieces
-   at which the pre-token pattern always cuts, see ``units``), a chunk keeps its
-   distinct words, and each document becomes the positions of its words in that
-   list.  This is the local pre-aggregation: a word crosses the network once per
-   chunk, packed with the other words of its bucket.
+1. ``cut``: documents are read in chunks of a few MB.  Each is cut into pre-tokens, the
+   matches of the pattern (found piece by piece, see ``units``, and once for each
+   distinct piece of a chunk); a chunk keeps its distinct words, and each document
+   becomes the positions of its words in that list.  This is the local pre-aggregation:
+   a word crosses the network once per chunk, packed with the others of its bucket.
 2. ``encode``: the words meet by bucket of their hash, and every distinct word of
-   a bucket is encoded once, match by match of the pattern, by the rank table.
+   a bucket is encoded once by the rank table.
 3. ``reassemble``: the ids come back to the chunk, are lined up with the positions,
-   and give the ids of each document.  Decoding looks ids up in the table of token bytes.
+   and give the ids of each document.  Decoding joins ids with the table of token
+   bytes, which is as large as the vocabulary and part of every task.
 
-Blobs are compressed before they are written or shuffled, and the chunks are a table
-bucketed by chunk, so that only ids move in the last step.
+Pieces with characters that versions of Unicode class differently are words whole,
+and the library splits them when it encodes them.
 
-A worker holds one chunk, or the distinct words of one bucket; the number of
-buckets (shuffle partitions unless given) should grow with the input.
+Blobs are compressed before they are written or shuffled, and the chunks are a table
+bucketed by chunk, so that only ids move in the last step.  A worker holds one chunk, or
+the distinct words of one bucket; buckets are as many as the input asks for.
 
 Edge cases: null and empty texts have no ids; texts of any length are one chunk of
 their own at most; repeated rows and null or repeated doc_ids give a row each; an
-empty table gives an empty table; other columns of the input are not read.
+empty table gives an empty table; other columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -32,18 +34,18 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.units import unit_text, units
-from tidemark.shared import bound_batches, materialize_by
+from tidemark.llm.units import plain, unit_text, units
+from tidemark.shared import bound_batches, materialize_by, tasks_for
 
-CHUNK_CHARS = 10_000_000
-_CHUNK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("places", pa.binary()), ("owners", pa.binary())])
-CHUNK_DDL = "chunk long, bucket int, words binary, doc_ids array<long>, counts array<int>, places binary, owners binary"
+CHUNK_CHARS = 4_000_000
+_CHUNK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("tags", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("places", pa.binary()), ("owners", pa.binary())])
+CHUNK_DDL = "chunk long, bucket int, words binary, doc_ids array<long>, tags array<long>, counts array<int>, places binary, owners binary"
 _IDS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary()), ("lengths", pa.binary())])
 IDS_DDL = "chunk long, bucket int, ids binary, lengths binary"
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("tokens", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("decoded", pa.binary())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("tokens", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("decoded", pa.binary())])
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -74,54 +76,75 @@ def unpack(blob: bytes) -> list[bytes]:
     return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def cut_chunk(chunk: int, doc_ids: list, texts: list, buckets: int) -> list[dict]:
-    """The rows of one chunk: its documents as places of words (and each word's bucket), and its words by bucket.
+def cut_chunk(chunk: int, rows: list[tuple], buckets: int, split) -> list[dict]:
+    """The rows of one chunk of (doc_id, tag, text): its documents as places of words (and each word's bucket), and its words by bucket.
 
-    Words are numbered as they are met, so frequent ones have small numbers.
+    ``split`` gives the matches of the pattern.  Words are numbered as they are met, so frequent ones have small numbers.
     """
-    seen: dict = {}
-    counts, places = [], []
-    for text in texts:
+    pieces: dict = {}
+    places = []
+    for _, _, text in rows:
         found = units(text or "")
-        counts.append(len(found))
-        places.append(np.fromiter((seen.setdefault(w, len(seen)) for w in found), np.uint32, len(found)))
-    raw = [unit_text(w).encode() for w in seen]
+        places.append(np.fromiter((pieces.setdefault(u, len(pieces)) for u in found), np.int64, len(found)))
+    words: dict[str, int] = {}
+    of_piece: list[int] = []
+    sizes = np.empty(len(pieces), np.int64)
+    for k, unit in enumerate(pieces):
+        text = unit_text(unit)
+        matches = split(text) if plain(text) else [text]
+        if sum(map(len, matches)) != len(text):
+            matches = [text]
+        of_piece += [words.setdefault(w, len(words)) for w in matches]
+        sizes[k] = len(matches)
+    # every place of a piece becomes the places of its words
+    flat = np.concatenate(places) if places else np.zeros(0, np.int64)
+    size = sizes[flat]
+    ends = np.cumsum(size)
+    begins = (np.cumsum(sizes) - sizes)[flat]
+    index = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begins - (ends - size), size)
+    edges = np.cumsum([0, *map(len, places)])
+    counts = np.diff(np.append(0, ends)[edges]).astype(np.int32)
+    raw = [w.encode() for w in words]
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in raw), np.int32, len(raw))
     order = np.argsort(bucket, kind="stable")
-    flat = np.concatenate(places) if places else np.zeros(0, np.uint32)
-    rows = [{"chunk": chunk, "bucket": None, "words": None, "doc_ids": doc_ids, "counts": counts, "places": squeeze(flat), "owners": squeeze(bucket)}]
-    edges = np.flatnonzero(np.diff(bucket[order])) + 1
-    for part in np.split(order, edges) if len(order) else []:
-        rows.append({"chunk": chunk, "bucket": int(bucket[part[0]]), "words": pack([raw[i] for i in part]), "doc_ids": None, "counts": None, "places": None, "owners": None})
-    return rows
+    doc_ids, tags, _ = zip(*rows, strict=True)
+    out = [{"chunk": chunk, "doc_ids": doc_ids, "tags": tags, "counts": counts, "places": squeeze(np.array(of_piece, np.uint32)[index]), "owners": squeeze(bucket)}]
+    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+        out.append({"chunk": chunk, "bucket": int(bucket[part[0]]), "words": pack([raw[i] for i in part])})
+    return [dict.fromkeys(_CHUNK.names) | row for row in out]
 
 
-def cutter(buckets: int):
+def cutter(buckets: int, pattern: str):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, k, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
+        import regex
+
+        split = regex.compile(pattern).findall
+        part, k, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids.append(doc_id)
-                texts.append(text)
-                size += len(text or "")
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.append(row)
+                size += len(row[2] or "")
                 if size >= CHUNK_CHARS:
-                    yield pa.RecordBatch.from_pylist(cut_chunk(part << 32 | k, ids, texts, buckets), _CHUNK)
-                    k, ids, texts, size = k + 1, [], [], 0
-        if ids:
-            yield pa.RecordBatch.from_pylist(cut_chunk(part << 32 | k, ids, texts, buckets), _CHUNK)
+                    yield pa.RecordBatch.from_pylist(cut_chunk(part << 32 | k, held, buckets, split), _CHUNK)
+                    k, held, size = k + 1, [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(cut_chunk(part << 32 | k, held, buckets, split), _CHUNK)
 
     return cut
 
 
 def word_encoder(ranks_path: str, pattern: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by bucket; what is known of one bucket is forgotten with it."""
         import tiktoken
 
         encoder = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
-        known: dict[bytes, bytes] = {}
+        at, known = None, {}
         for batch in batches:
             out = []
             for chunk, bucket, blob in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                if bucket != at:
+                    at, known = bucket, {}
                 words = unpack(blob)
                 for w in words:
                     if w not in known:
@@ -164,11 +187,13 @@ def assembler(ranks_path: str, columns: list[str]):
             place_of = np.empty(len(order), np.int64)
             place_of[order] = np.arange(len(order))  # ids come bucket by bucket
             places, at = place_of[expand(row["places"])], 0
-            for doc_id, n in zip(row["doc_ids"], row["counts"], strict=True):
+            for doc_id, tag, n in zip(row["doc_ids"], row["tags"], row["counts"], strict=True):
                 where = places[at : at + n]
                 own = where.tolist()
                 at += n
                 out["doc_id"].append(doc_id)
+                if "place" in out:
+                    out["place"].append(tag)
                 out["n_tokens"].append(int(lengths[where].sum()))
                 if "ids" in out or "tokens" in out:
                     whole = b"".join([binary[i] for i in own])
@@ -189,18 +214,17 @@ def assembler(ranks_path: str, columns: list[str]):
     return assemble
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, columns=("doc_id", "n_tokens", "ids"), buckets: int | None = None) -> DataFrame:
-    """One row per document with the asked columns: doc_id, n_tokens, ids (little-endian unsigned 32-bit), tokens (the same as a list), decoded, ids_sha256, decoded_sha256."""
-    spark = docs.sparkSession
-    bound_batches(spark)
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    chunks = materialize_by(slim.mapInArrow(cutter(buckets), CHUNK_DDL), "bpe-chunks", "chunk", buckets)
-    words = chunks.where("bucket is not null").select("chunk", "bucket", "words").repartition("bucket")
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, columns=("doc_id", "n_tokens", "ids"), buckets: int | None = None, place: Column | None = None) -> DataFrame:
+    """One row per document with the asked columns: doc_id, n_tokens, ids (little-endian unsigned 32-bit), tokens (the same as a list), decoded, ids_sha256, decoded_sha256, and place, the long that is given for it."""
+    bound_batches(docs.sparkSession)
+    buckets = buckets or tasks_for(docs)
+    slim = docs.select(F.col("doc_id").cast("long"), (F.lit(None) if place is None else place).cast("long").alias("tag"), F.col("text").cast("string"))
+    chunks = materialize_by(slim.mapInArrow(cutter(buckets, pattern), CHUNK_DDL), "bpe-chunks", "chunk", buckets)
+    words = chunks.where("bucket is not null").select("chunk", "bucket", "words").repartition("bucket").sortWithinPartitions("bucket")
     ids = words.mapInArrow(word_encoder(ranks_path, pattern), IDS_DDL)
     columns = list(dict.fromkeys(["doc_id", "n_tokens", *columns]))
-    kinds = {"doc_id": "long", "n_tokens": "long", "ids": "binary", "tokens": "array<int>", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "binary"}
-    held = chunks.where("bucket is null").select("chunk", "doc_ids", "counts", "places", "owners")
+    kinds = {"doc_id": "long", "place": "long", "n_tokens": "long", "ids": "binary", "tokens": "array<int>", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "binary"}
+    held = chunks.where("bucket is null").select("chunk", "doc_ids", "tags", "counts", "places", "owners")
     return held.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(assembler(ranks_path, columns), ", ".join(f"{c} {kinds[c]}" for c in columns))
 
 
