@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_simhash import brute_components, brute_fingerprint
-from tidemark.llm import word_bpe
+from tidemark import shared
+from tidemark.llm import curriculum, word_bpe
 
 
 def table(spark, tmp_path):
@@ -42,6 +43,9 @@ def test_stages_against_brute_force(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         if k < 4:
             assert docs.columns == columns
+        if k == 4:
+            seen.append(docs.collect())
+            break
         docs.write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         seen.append(docs.collect())
@@ -62,13 +66,19 @@ def test_stages_against_brute_force(spark, tmp_path):
             if raw[i : i + 100] in grams:
                 gone.update(range(i, i + 100))
             grams.add(raw[i : i + 100])
-        left = bytes(b for i, b in enumerate(raw) if i not in gone)
-        want[r.doc_id] = (left, bool(gone))
-    assert {r.doc_id for r in cut} == {d for d, (left, gone) in want.items() if left or not gone}
+        kept, inside, tail = bytearray(), False, bytearray()
+        for i, b in enumerate(raw):  # a character goes only if all its bytes go
+            if b & 0xC0 != 0x80:
+                kept += tail if not inside else b""
+                tail, inside = bytearray(), True
+            tail.append(b)
+            inside = inside and i in gone
+        kept += tail if not inside else b""
+        want[r.doc_id] = (kept.decode(), bool(gone))
+    assert {r.doc_id: r.text or "" for r in cut} == {d: left for d, (left, gone) in want.items() if left or not gone}
+    assert any(gone and left for left, gone in want.values())
     for r in cut:
-        left, gone = want[r.doc_id]
-        assert left.decode(errors="ignore") in (r.text or "") or not gone or abs(len((r.text or "").encode()) - len(left)) < 8
-        assert not gone or r.n_chars == len(r.text)
+        assert not want[r.doc_id][1] or r.n_chars == len(r.text)
 
     words = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in cut}
     times = {}
@@ -83,6 +93,22 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert sorted((str(r.doc_id), r.tokens) for r in final) == lines
     assert sorted((str(r.doc_id), r.decoded_sha256) for r in final) == sorted((str(r.doc_id), sha256(r.text.encode()).hexdigest()) for r in mixed)
 
+    # the training order goes on to the end
+    due = curriculum.mix(spark.read.parquet(str(tmp_path / "repeats")).select("doc_id", "source", "text")).collect()
+    order = [d for _, _, d in sorted((p, (r.doc_id is not None, r.doc_id), r.doc_id) for r in due for p in r.positions)]
+    assert [r.doc_id for r in final] == order and [r.place for r in final] == list(range(len(order)))
+    again = corpus_pipeline.in_file_order(spark.createDataFrame([(i, "x") for i in range(50)], "doc_id long, __file string").repartition(3, "doc_id").drop("__file"))
+    assert sorted(r["__place"] for r in again.collect()) == list(range(50))
+
+
+def test_run_leaves_only_its_result(spark, tmp_path):
+    table(spark, tmp_path)
+    before = {t.name for t in spark.catalog.listTables()}, shared.made()
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert ({t.name for t in spark.catalog.listTables()}, shared.made()) == (before[0], before[1] + 1)
+    places = [r.place for r in got.select("place").collect()]
+    assert sorted(places) == list(range(len(places)))
+
 
 def test_run_on_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))

@@ -41,6 +41,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -341,7 +342,7 @@ def distinct_contexts(table: pa.Table) -> tuple[pa.Table, pa.Table]:
     least = np.full(int(same.max()) + 1 if len(same) else 0, len(rank))
     np.minimum.at(least, same, rank)
     earliest = pa.array(rank == least[same])
-    return table.filter(earliest), table.filter(pa.compute.invert(earliest))
+    return table.filter(earliest), table.filter(pc.invert(earliest))
 
 
 def shard_repeats(contexts: list[bytes], starts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -395,12 +396,12 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: pa.Table | None = None
     for batch in batches:
         known = batch.column("bytes").is_valid()
-        yield _ranges(pa.Table.from_batches([batch.filter(pa.compute.invert(known))]))
+        yield _ranges(pa.Table.from_batches([batch.filter(pc.invert(known))]))
         fresh, copies = distinct_contexts(pa.Table.from_batches([batch.filter(known)]))
         yield _ranges(copies)
         held = fresh if held is None else pa.concat_tables([held, fresh])
         while len(held):
-            sizes = np.cumsum(pa.compute.binary_length(held.column("bytes")).to_numpy())
+            sizes = np.cumsum(pc.binary_length(held.column("bytes")).to_numpy())
             if sizes[-1] <= SHARD:
                 break
             fits = max(1, int(np.searchsorted(sizes, SHARD, "right")))
