@@ -101,7 +101,7 @@ IDENTITIES = [
     (None, INT, spec(), ("null", "")), (b"\xca\xfe", BYTES, spec("binary", "blob"), ("bytes", "cafe")), (5, INT, spec(), ("int", "5")), (5, LONG, spec(), ("int", "5")),
     ("5", TEXT, spec(), ("str", "5")), (date(2024, 1, 2), T.DateType(), spec(), ("date", "2024-01-02")), (True, T.BooleanType(), spec(), ("bool", "1")),
     (b"\5", BYTES, spec("bit", "bit"), ("int", "5")), (Decimal("1.50"), T.DecimalType(5, 2), spec("decimal", "decimal"), ("str", "1.50")), (b"ab", BYTES, spec(), ("str", "ab")),
-    (datetime(2024, 1, 2, 3, 4, 5, 6), T.TimestampNTZType(), spec(), ("datetime", "2024-01-02T03:04:05.000006")), (2.5, T.DoubleType(), spec(), ("float", "2.5")),
+    (datetime(2024, 1, 2, 3, 4, 5, 6), T.TimestampNTZType(), spec(), ("datetime", "2024-01-02T03:04:05.000006")), (2.5, T.DoubleType(), spec(), ("float", "4612811918334230528")),
 ]
 
 
@@ -121,5 +121,18 @@ def test_driver_values_round_trip(value):
     assert keys.decode_value(*keys.encode_value(value)) == value
 
 
+@given(st.lists(st.tuples(st.floats() | st.sampled_from([0.0, -0.0, 1e10, 1e-7, 5e-324, 2.0**-44]), st.integers(-(2**63), 2**63 - 1), st.decimals(-(10**20), 10**20, places=3), st.integers(0, 2**64 - 1), st.datetimes(), st.binary(max_size=5), st.booleans()), min_size=1, max_size=30))
+@settings(max_examples=10, deadline=None)
+def test_columns_and_driver_give_the_same_pair(spark, found):
+    kinds = "f double, i long, d decimal(30,3), u decimal(20,0), t timestamp_ntz, b binary, o boolean"
+    df = spark.createDataFrame([(f, i, d, Decimal(u), t.replace(year=max(t.year, 1000)), bytes(b), o) for f, i, d, u, t, b, o in found], kinds)
+    binary = {"b": ColumnSpec("b", "binary", "blob")}
+    rows = df.select("*", keys.row_identity(df, tuple(df.columns), binary).alias("id")).collect()
+    for r in rows:
+        assert [tuple(p) for p in r.id] == [keys.encode_value(v) for v in r[:-1]]
+    back = df.select(keys.row_identity(df, ("f",)).alias("id"), "f").select(keys.decode(F.col("id")[0], "double").alias("x"), "f").collect()
+    assert all(r.x == r.f or r.x != r.x and r.f != r.f for r in back)
+
+
 def test_unknown_tags_give_text():
     assert keys.decode_value("decimal", "x") == "x" and keys.decode_value("other", "y") == "y" and keys.decode_value("int", "18446744073709551615") == 2**64 - 1

@@ -4,8 +4,8 @@ import os
 import pytest
 
 from tidemark.operators import spec as s
-from tidemark.operators.merge import delete_sql, upsert_sql
 from tidemark.sources import config as c
+from tidemark.sources.database import chunk_query, merge_sql
 
 MINIMAL = {
     "mysql": {"user": "u", "db": "shop", "password_env": "SRC_PW"},
@@ -42,6 +42,7 @@ def test_tables():
         s.TableSpec("t", "t", ("a", "b"), ("b",))
     t = s.TableSpec("t", "p.t", ("id",)).with_catalog(CATALOG)
     assert [(x.name, x.kind, x.unsigned, x.members) for x in t.columns] == [("id", "plain", True, ()), ("raw", "binary", False, ()), ("kinds", "set", False, ("a", "b")), ("at", "plain", False, ())]
+    assert s.ColumnSpec.from_catalog("f", "bit", None, "bit(12)").bits == 12 and t.payload() == ["raw", "kinds", "at"]
     for bad, message in (([], "no such table"), ([CATALOG[0] | {"nullable": True}], "null"), ([CATALOG[1]], "no column id")):
         with pytest.raises(s.SpecError, match=message):
             s.TableSpec("t", "p.t", ("id",)).with_catalog(bad)
@@ -56,8 +57,13 @@ def test_settings(name):
 
 def test_statements():
     t = s.TableSpec("t", "p.t", ("id",), (), (s.ColumnSpec("id"), s.ColumnSpec("d", "decimal"), s.ColumnSpec("j", "json")))
-    assert upsert_sql(t, ["j", "id", "d"], 2) == 'INSERT INTO "p"."t" ("d", "id", "j") VALUES ($1::numeric, $2, $3::jsonb), ($4::numeric, $5, $6::jsonb) ON CONFLICT ("id") DO UPDATE SET "d" = EXCLUDED."d", "j" = EXCLUDED."j"'
-    assert upsert_sql(t, ["id"]).endswith('ON CONFLICT ("id") DO NOTHING') and delete_sql(t) == 'DELETE FROM "p"."t" WHERE "id" = $1'
+    gone, new = merge_sql(t, "p.s", postgres=True)
+    assert gone == 'DELETE FROM "p"."t" WHERE EXISTS (SELECT 1 FROM "p"."s" s WHERE s."id" = "p"."t"."id" AND s.op = \'d\')'
+    assert new == 'INSERT INTO "p"."t" ("d", "id", "j") SELECT s."d", s."id", s."j"::jsonb FROM "p"."s" s WHERE s.op = \'u\' ON CONFLICT ("id") DO UPDATE SET "d" = EXCLUDED."d", "j" = EXCLUDED."j"'
+    assert merge_sql(s.TableSpec("t", "t", ("id",), (), (s.ColumnSpec("id"),)), "s", True)[1].endswith('ON CONFLICT ("id") DO NOTHING')
+    two = s.TableSpec("t", "t", ("a", "b"), ("c",), tuple(map(s.ColumnSpec, "abc")))
+    assert chunk_query(two, [1, "x'\\"], 9, "jdbc:mysql://h/d") == "SELECT `a`, `b` FROM `t` WHERE (`a` > 1) OR (`a` = 1 AND `b` > 'x''\\\\') ORDER BY `a`, `b` LIMIT 9"
+    assert chunk_query(two, None, 9, "jdbc:derby:x") == 'SELECT "a", "b" FROM "t" ORDER BY "a", "b" FETCH FIRST 9 ROWS ONLY'
     assert s.quote_target('a.b"c') == '"a"."b""c"' and s.quote_source("a.b`c") == "`a.b``c`"
 
 
@@ -77,7 +83,7 @@ def test_state_round_trip_and_crash(tmp_path, monkeypatch):
     assert json.loads(open(path).read())["tables"]["users"] == {"done": False, "last_key": [["int", "42"]], "key_columns": ["id"]}
     assert c.State.load(path) == state
     users = s.TableSpec("users", "users", ("uuid",))
-    with pytest.raises(s.SpecError, match="key_columns changed"):
+    with pytest.raises(s.SpecError, match="begun with the key id"):
         state.progress(users)
     state.log_pos = 100
     monkeypatch.setattr(os, "replace", lambda *_: (_ for _ in ()).throw(OSError("crash")))

@@ -45,7 +45,7 @@ def bit_to_int(c: Column, kind: T.DataType, bits: int = 64) -> Column:
         digits = F.array_join(F.transform(c, lambda b: b.cast("int").cast("string")), "")
         whole = F.conv(digits, 2, 10)
         return whole.cast("long") if bits < 64 else whole.cast("decimal(20,0)")
-    return c
+    return c.cast("long") if bits < 64 else c.cast("decimal(20,0)")
 
 
 def signedness(c: Column, column: ColumnSpec) -> Column:
@@ -114,7 +114,7 @@ def canonical(c: Column, kind: T.DataType, column: ColumnSpec, from_log: bool) -
     if column.kind == "binary":
         return to_bytes(c, kind)
     if column.kind == "bit":
-        return bit_to_int(c, kind)
+        return bit_to_int(c, kind, column.bits)
     if column.kind == "json":
         return to_text(c) if isinstance(kind, T.BinaryType) else c if isinstance(kind, T.StringType) else F.to_json(c)
     if column.kind == "set":
@@ -137,6 +137,8 @@ def for_target(c: Column, kind: T.DataType, column: ColumnSpec, from_log: bool)
         return found
     if isinstance(kind, T.BinaryType):
         return to_text(found)
+    if column.source_type == "time" and isinstance(kind, _WHOLE):
+        return time_to_text(c.cast("long"))
     if isinstance(kind, T.DayTimeIntervalType):
         micros = (F.extract(F.lit("DAY"), c).cast("long") * 24 + F.extract(F.lit("HOUR"), c)) * 3_600_000_000 + F.extract(F.lit("MINUTE"), c) * 60_000_000
         return time_to_text((micros + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")).cast("long"))

@@ -1,8 +1,9 @@
 """The change log: from events to ordered operations by key.
 
-An event is a row (pos, kind, db, tbl, changes, statement, mark_id).  ``kind``
+An event is a row (pos, kind, db, tbl, table_id, changes, statement, mark_id).  ``kind``
 is insert, update, delete, commit, mark, ddl, heartbeat, rotate or map;
 ``changes`` is array<struct<before, after>> of full rows, null where there is none.
+A row event names its table, or gives a number that an earlier map event has named.
 The order of the log is (pos, seq), never the order of rows in a DataFrame.
 """
 
@@ -11,7 +12,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROW_KINDS = ("insert", "update", "delete")
@@ -28,6 +29,26 @@ def ours(log: DataFrame, db: str, tables: list[str]) -> DataFrame:
     return log.where(F.col("kind").isin(*ROW_KINDS) & (F.col("db") == db) & F.col("tbl").isin(*tables))
 
 
+def table_names(log: DataFrame) -> DataFrame:
+    """From which position on (``since``, up to before ``until``) a table number stands for which db and tbl: a row each time that changes."""
+    number = Window.partitionBy("table_id").orderBy("since")
+    maps = log.where((F.col("kind") == "map") & F.col("table_id").isNotNull()).select("table_id", F.col("pos").alias("since"), F.struct("db", "tbl").alias("name"))
+    new = maps.withColumn("before", F.lag("name").over(number)).where("before is null or before <> name")
+    return new.select("table_id", "since", F.lead("since").over(number).alias("until"), "name")
+
+
+def resolve_tables(log: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Row events that give a number only get the db and tbl it stood for (by ``names``, or the map events of the log itself); without one, the event is an error when it is read."""
+    names = table_names(log) if names is None else names
+    others = [c for c in log.columns if c not in ("db", "tbl")]
+    e, m = log.alias("e"), names.alias("m")
+    numbered = F.col("e.kind").isin(*ROW_KINDS) & F.col("e.tbl").isNull() & F.col("e.table_id").isNotNull()
+    found = e.join(m, numbered & (F.col("e.table_id") == F.col("m.table_id")) & (F.col("e.pos") >= F.col("m.since")) & (F.col("m.until").isNull() | (F.col("e.pos") < F.col("m.until"))), "left")
+    unknown = F.raise_error(F.concat(F.lit("no table has the number "), F.col("e.table_id").cast("string"), F.lit(" at position "), F.col("e.pos").cast("string")))
+    name = F.when(~numbered, F.struct("e.db", "e.tbl")).otherwise(F.coalesce("m.name", unknown))
+    return found.select(*[F.col(f"e.{c}") for c in others], name.alias("__n")).select(*others, "__n.db", "__n.tbl")
+
+
 def row_changes(log: DataFrame) -> DataFrame:
     """A row for each change of a row event, numbered by ``n`` within it; an empty event gives none."""
     others = [c for c in log.columns if c != "changes"]
@@ -74,7 +95,7 @@ def new_mark() -> str:
 
 def is_ddl(statement: Column, default_db: Column, db: str) -> Column:
     """Whether a statement changes a schema of ours: by its first word, then by its database or by ``db.`` in its text."""
-    word = F.upper(F.regexp_extract(F.trim(statement), r"^(\S+)", 1))
+    word = F.upper(F.regexp_extract(statement, r"(?U)^\s*(\S+)", 1))
     lower = F.lower(statement)
     named = lower.contains(f"`{db.lower()}`.") | lower.contains(f"{db.lower()}.")
     return word.isin(*DDL_WORDS) & (F.coalesce(default_db == db, F.lit(False)) | named)
@@ -95,4 +116,4 @@ def refuse_ddl(log: DataFrame, db: str, skip_to: int | None = None, strict: bool
     if skip_to is not None:
         found = found.where(F.col("pos") > skip_to)
     if first := found.orderBy("pos").head(1):
-        raise SchemaChange(f"source DDL cannot be replayed: {first[0].statement[:200]}")
+        raise SchemaChange(f"the log changes the schema at position {first[0].pos}, which no target follows: {first[0].statement[:200]}")

@@ -1,7 +1,13 @@
-"""Row identity: every part of a key is a (type tag, text) pair, so that 5 and "5" differ."""
+"""Row identity: every part of a key is a (type tag, text) pair, so that 5 and "5" differ.
+
+The text of a floating-point number is its 64 bits as a whole number, since no two
+languages agree on its digits; both zeros are one value, and so are all NaN.
+"""
 
 from __future__ import annotations
 
+import math
+import struct
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -29,7 +35,8 @@ def _tagged(c: Column, kind: T.DataType) -> tuple[str, Column]:
     if isinstance(kind, T.DateType):
         return "date", F.date_format(c, "yyyy-MM-dd")
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return "float", c.cast("string")
+        # a float key is rare; this is the one way to its bits without Python
+        return "float", F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), c.cast("double") + F.lit(0.0))
     return "str", c.cast("string")
 
 
@@ -67,21 +74,25 @@ def encode_value(value) -> tuple[str, str]:
     if isinstance(value, int):
         return "int", str(value)
     if isinstance(value, Decimal):
-        return "decimal", str(value)
+        return ("int", str(int(value))) if value.as_tuple().exponent == 0 else ("decimal", format(value, "f"))
     if isinstance(value, datetime):
         return "datetime", value.isoformat(timespec="microseconds")
     if isinstance(value, date):
         return "date", value.isoformat()
     if isinstance(value, float):
-        return "float", repr(value)
+        return "float", str(struct.unpack(">q", struct.pack(">d", math.nan if math.isnan(value) else value + 0.0))[0])
     return "str", str(value)
 
 
+def _float(text: str) -> float:
+    return struct.unpack(">d", struct.pack(">q", int(text)))[0]
+
+
 def decode_value(tag: str, text: str):
     """The value of a pair; an unknown tag gives the text."""
     if tag == "null":
         return None
-    decoders = {"bytes": bytes.fromhex, "bool": lambda t: t == "1", "int": int, "datetime": datetime.fromisoformat, "date": date.fromisoformat, "float": float}
+    decoders = {"bytes": bytes.fromhex, "bool": lambda t: t == "1", "int": int, "datetime": datetime.fromisoformat, "date": date.fromisoformat, "float": _float}
     if tag == "decimal":
         try:
             return Decimal(text)
@@ -94,6 +105,8 @@ def decode(part: Column, kind: str) -> Column:
     """A pair back to a cell of the Spark type ``kind``."""
     text = part["text"]
     value = F.unhex(text) if kind == "binary" else (text == "1") if kind == "boolean" else text.try_cast(kind)
+    if kind in ("float", "double"):
+        value = F.reflect(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), text.try_cast("bigint")).try_cast(kind)
     return F.when(part["type"] != "null", value)
 
 

@@ -1,18 +1,15 @@
-"""Idempotent writes by key: on DataFrames, to a versioned table, and as SQL for a database."""
+"""Idempotent writes by key: on DataFrames, and to a versioned table."""
 
 from __future__ import annotations
 
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.reconcile import latest
-from tidemark.operators.spec import TableSpec, quote_target
-
-#: Rows to a statement when writing to a database.
-PAGE = 100
+from tidemark.shared import file_system
 
 
 def upsert(target: DataFrame, rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -28,123 +25,146 @@ def delete(target: DataFrame, gone: DataFrame, keys: tuple[str, ...]) -> DataFra
 
 
 class VersionedTable:
-    """A table of stamped rows in files, replaced bucket by bucket.
-
-    Rows lie in ``buckets`` by the hash of their key.  A write folds its operations into
-    the buckets they touch and only those; new files go to a folder of their own, and a
-    manifest that names the current folder of each bucket is renamed into place
-    last.  So readers see whole versions, and a write that is repeated after a
-    failure changes nothing: operations at or before a row's own stamp lose.
-
-    Deleted rows stay as tombstones until ``purge``, lest an older snapshot row
-    bring them back.
+    """A table of stamped rows in files: a log of runs, merged by size.
+
+    A write folds its operations to one per key and appends them as a run of its own,
+    however large the table is; reading folds all runs.  Once the newest ``fanout`` runs
+    are of like size they are merged into one, so a row is rewritten as often as the
+    logarithm of the table's size says, and there are few runs to read.  A manifest that
+    names the runs is renamed into place last: readers see whole versions, and a write
+    that is repeated after a failure changes nothing, since operations at or before a
+    row's own stamp lose.  The table has one writer; another one at the same time is found
+    out by its manifest, and raises.
+
+    Deleted rows stay as tombstones until ``purge``, lest an older snapshot row bring them
+    back.  Runs that the last ``keep`` versions don't name are deleted after a merge.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...], payload: dict[str, str], key_types: dict[str, str], buckets: int = 16) -> None:
+    def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...], payload: dict[str, str], key_types: dict[str, str], fanout: int = 8, keep: int = 10) -> None:
         self.spark, self.path, self.keys, self.payload = spark, path.rstrip("/"), tuple(keys), list(payload)
-        columns = key_types | payload | {"op": "string", "pos": "long", "seq": "int", "__bucket": "int"}
+        columns = key_types | payload | {"op": "string", "pos": "long", "seq": "int"}
         self.schema = ", ".join(f"`{c}` {t}" for c, t in columns.items())
-        self.columns, self.buckets = list(columns)[:-1], buckets
+        self.columns, self.fanout, self.keep = list(columns), fanout, keep
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+    # --- versions ------------------------------------------------------------------------------
 
-    def manifest(self) -> dict:
-        """Version, position of the last commit applied, and the folder of each bucket."""
-        fs, path = self._fs()
+    def _versions(self) -> list[str]:
+        fs, path = file_system(self.spark, self.path)
         current = path(f"{self.path}/_manifests")
-        best = max((s.getPath().getName() for s in fs.listStatus(current)), default=None) if fs.exists(current) else None
-        if best is None:
-            return {"version": 0, "pos": None, "folders": {}}
-        stream = fs.open(path(f"{self.path}/_manifests/{best}"))
+        return sorted(s.getPath().getName() for s in fs.listStatus(current)) if fs.exists(current) else []
+
+    def _load(self, name: str) -> dict:
+        fs, path = file_system(self.spark, self.path)
+        stream = fs.open(path(f"{self.path}/_manifests/{name}"))
         try:
             return json.loads(bytes(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode())
         finally:
             stream.close()
 
+    def manifest(self) -> dict:
+        """Version, position of the last commit applied, and the runs, oldest first."""
+        found = self._versions()
+        return self._load(found[-1]) if found else {"version": 0, "pos": None, "runs": []}
+
     def _commit(self, manifest: dict) -> None:
-        fs, path = self._fs()
-        name = f"{self.path}/_manifests/{manifest['version']:012d}.json"
-        draft = path(f"{self.path}/_drafts/{uuid.uuid4().hex}")
+        """Write the next version; one of that number must not exist, and afterwards it must be ours."""
+        fs, path = file_system(self.spark, self.path)
+        manifest |= {"version": manifest["version"] + 1, "writer": uuid.uuid4().hex}
+        name = f"{manifest['version']:012d}.json"
+        draft = path(f"{self.path}/_drafts/{manifest['writer']}")
         out = fs.create(draft, True)
         out.write(bytearray(json.dumps(manifest).encode()))
         out.hsync()
         out.close()
         fs.mkdirs(path(f"{self.path}/_manifests"))
-        if not fs.rename(draft, path(name)):
-            raise RuntimeError(f"version {manifest['version']} was written by another writer")
+        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
+        uri, conf = fs.makeQualified(draft).toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(uri, conf)
+        no_overwrite = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(fs.makeQualified(draft), fs.makeQualified(path(f"{self.path}/_manifests/{name}")), no_overwrite)
+        except Exception as e:
+            raise RuntimeError(f"{self.path}: version {manifest['version']} is there already, from another writer") from e
+        if self._load(name)["writer"] != manifest["writer"]:
+            raise RuntimeError(f"{self.path}: another writer has replaced version {manifest['version']}")
+
+    # --- rows ----------------------------------------------------------------------------------
+
+    def _read(self, runs: list[dict]) -> DataFrame:
+        if not runs:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{r['folder']}" for r in runs])
+
+    def _fold(self, ops: DataFrame) -> DataFrame:
+        return latest(ops, self.keys, self.payload).select(*self.columns)
 
-    def _rows(self, manifest: dict, buckets: list[int] | None = None) -> DataFrame:
-        paths = sorted({f"{folder}/__bucket={b}" for b, folder in manifest["folders"].items() if buckets is None or int(b) in buckets})
-        if not paths:
-            return self.spark.createDataFrame([], self.schema).drop("__bucket")
-        own = self.schema.rsplit(", `__bucket`", 1)[0]
-        return self.spark.read.schema(own).parquet(*[f"{self.path}/{p}" for p in paths])
+    def _write(self, rows: DataFrame) -> dict:
+        """A new run of these rows."""
+        seen, folder = Observation(), f"run-{uuid.uuid4().hex}"
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.path}/{folder}")
+        return {"folder": folder, "rows": seen.get.get("n", 0)}
 
     def rows(self) -> DataFrame:
         """Current rows with their stamps, tombstones included."""
-        return self._rows(self.manifest())
+        runs = self.manifest()["runs"]
+        return self._read(runs) if len(runs) < 2 else self._fold(self._read(runs))
 
     def read(self) -> DataFrame:
         """The current state."""
         return self.rows().where("op <> 'd'").select(*self.keys, *self.payload)
 
+    # --- writes --------------------------------------------------------------------------------
+
     def apply(self, ops: DataFrame, pos: int | None = None) -> None:
-        """Fold operations (keys, payload, op, pos, seq) into the table; ``pos`` is the commit they end with.  None touched, nothing written."""
+        """Fold operations (keys, payload, op, pos, seq) into the table; ``pos`` is the commit they end with.  None there, none written."""
         manifest = self.manifest()
-        bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets))
-        folded = latest(ops, self.keys, self.payload).select(*self.columns).withColumn("__bucket", bucket).persist()
-        try:
-            touched = sorted(r[0] for r in folded.select("__bucket").distinct().collect())
-            if touched:
-                held = self._rows(manifest, touched).withColumn("__bucket", bucket)
-                new = latest(held.unionByName(folded).drop("__bucket"), self.keys, self.payload).select(*self.columns).withColumn("__bucket", bucket)
-                folder = f"v{manifest['version'] + 1:012d}-{uuid.uuid4().hex[:8]}"
-                new.repartition("__bucket").write.partitionBy("__bucket").parquet(f"{self.path}/{folder}")
-                manifest["folders"] |= {str(b): folder for b in touched}
-            elif pos is None or manifest["pos"] is not None and pos <= manifest["pos"]:
+        run = self._write(self._fold(ops))
+        ahead = pos is not None and (manifest["pos"] is None or pos > manifest["pos"])
+        if run["rows"]:
+            manifest["runs"].append(run)
+        else:
+            self._delete([run["folder"]])
+            if not ahead:
                 return
-            if pos is not None:
-                manifest["pos"] = max(pos, manifest["pos"] if manifest["pos"] is not None else pos)
-            manifest["version"] += 1
-            self._commit(manifest)
-        finally:
-            folded.unpersist()
+        if ahead:
+            manifest["pos"] = pos
+        merged = self._merge_alike(manifest)
+        self._commit(manifest)
+        if merged:
+            self.vacuum()
+
+    def _merge_alike(self, manifest: dict) -> bool:
+        """Merge the newest runs as long as ``fanout`` of them are not much larger than the newest."""
+        runs, merged = manifest["runs"], False
+        while True:
+            tail = 0
+            while tail < len(runs) and runs[-1 - tail]["rows"] <= self.fanout * runs[-1]["rows"]:
+                tail += 1
+            if tail < self.fanout:
+                return merged
+            runs[-tail:] = [self._write(self._fold(self._read(runs[-tail:])))]
+            merged = True
 
     def purge(self) -> None:
-        """Drop tombstones; for when the backfill of the table is done."""
+        """Merge all runs and drop tombstones; for when the backfill of the table is done."""
         manifest = self.manifest()
-        if not manifest["folders"]:
+        if not manifest["runs"]:
             return
-        folder = f"v{manifest['version'] + 1:012d}-{uuid.uuid4().hex[:8]}"
-        bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets))
-        kept = self._rows(manifest).where("op <> 'd'").withColumn("__bucket", bucket)
-        kept.repartition("__bucket").write.partitionBy("__bucket").parquet(f"{self.path}/{folder}")
-        fs, path = self._fs()
-        manifest["folders"] = {b: folder for b in manifest["folders"] if fs.exists(path(f"{self.path}/{folder}/__bucket={b}"))}
-        manifest["version"] += 1
+        run = self._write(self._fold(self._read(manifest["runs"])).where("op <> 'd'"))
+        manifest["runs"] = [run] if run["rows"] else []
         self._commit(manifest)
-
-
-def placeholder(n: int, kind: str) -> str:
-    """A statement's n-th parameter, with the cast its kind needs."""
-    return f"${n}" + {"decimal": "::numeric", "json": "::jsonb"}.get(kind, "")
-
-
-def upsert_sql(table: TableSpec, columns: list[str], rows: int = 1) -> str:
-    """INSERT of up to ``PAGE`` rows that overwrites rows of equal key."""
-    names = sorted(columns)
-    kinds = {c.name: c.kind for c in table.columns}
-    lines = ["(" + ", ".join(placeholder(r * len(names) + i + 1, kinds.get(n, "plain")) for i, n in enumerate(names)) + ")" for r in range(rows)]
-    others = [quote_target(n) for n in names if n not in table.keys]
-    action = "UPDATE SET " + ", ".join(f"{n} = EXCLUDED.{n}" for n in others) if others else "NOTHING"
-    return f"INSERT INTO {quote_target(table.target)} ({', '.join(map(quote_target, names))}) VALUES {', '.join(lines)} ON CONFLICT ({', '.join(map(quote_target, table.keys))}) DO {action}"
-
-
-def delete_sql(table: TableSpec) -> str:
-    """DELETE of one key."""
-    kinds = {c.name: c.kind for c in table.columns}
-    where = " AND ".join(f"{quote_target(k)} = {placeholder(i + 1, kinds.get(k, 'plain'))}" for i, k in enumerate(table.keys))
-    return f"DELETE FROM {quote_target(table.target)} WHERE {where}"
+        self.vacuum()
+
+    def vacuum(self) -> None:
+        """Delete versions before the last ``keep``, and the runs that only those name."""
+        fs, path = file_system(self.spark, self.path)
+        versions = self._versions()
+        live = {r["folder"] for v in versions[-self.keep :] for r in self._load(v)["runs"]}
+        for v in versions[: -self.keep]:
+            fs.delete(path(f"{self.path}/_manifests/{v}"), False)
+        self._delete([n for n in (s.getPath().getName() for s in fs.listStatus(path(self.path))) if n.startswith("run-") and n not in live])
+
+    def _delete(self, folders: list[str]) -> None:
+        fs, path = file_system(self.spark, self.path)
+        for folder in folders:
+            fs.delete(path(f"{self.path}/{folder}"), True)

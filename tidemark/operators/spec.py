@@ -15,6 +15,8 @@ REQUIRED_SETTINGS = {"binlog_format": "ROW", "binlog_row_image": "FULL", "binlog
 
 _QUOTED = re.compile(r"'((?:[^'\\]|\\.|'')*)'", re.S)
 _ESCAPE = re.compile(r"\\(.)|''", re.S)
+_BITS = re.compile(r"bit\((\d+)\)", re.I)
+#: What a letter behind a backslash stands for.
 _CONTROL = {"0": "\0", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a"}
 
 
@@ -43,6 +45,7 @@ class ColumnSpec:
     source_type: str = ""
     unsigned: bool = False
     members: tuple[str, ...] = ()
+    bits: int = 64
 
     @classmethod
     def from_catalog(cls, name: str, data_type: str, charset: str | None, column_type: str) -> ColumnSpec:
@@ -51,7 +54,9 @@ class ColumnSpec:
             kind = data_type
         else:
             kind = "binary" if data_type in BINARY_TYPES or charset == "binary" else "plain"
-        return cls(name, kind, data_type, " unsigned" in column_type, tuple(type_members(column_type)) if kind in ("set", "enum") else ())
+        width = _BITS.search(column_type)
+        members = tuple(type_members(column_type)) if kind in ("set", "enum") else ()
+        return cls(name, kind, data_type, " unsigned" in column_type, members, int(width[1]) if kind == "bit" and width else 64)
 
 
 @dataclass(frozen=True)
@@ -90,13 +95,21 @@ class TableSpec:
         return found
 
     def with_schema(self, df: DataFrame) -> TableSpec:
-        """With the columns of a DataFrame, all plain but bytes."""
+        """With the columns of a DataFrame, all plain but bytes and decimals; whether a key is ever null is for :func:`check_keys`."""
         rows = [
             {"name": f.name, "data_type": "varbinary" if f.dataType.typeName() == "binary" else f.dataType.typeName(), "nullable": False, "column_type": "", "ordinal": i}
             for i, f in enumerate(df.schema)
         ]
         return self.with_catalog(rows)
 
+    def kept(self) -> list[ColumnSpec]:
+        """The columns that are replicated, in the order of the catalogue."""
+        return [c for c in self.columns if c.name not in self.skip]
+
+    def payload(self) -> list[str]:
+        """The replicated columns that are not key."""
+        return [c.name for c in self.kept() if c.name not in self.keys]
+
 
 def check_settings(found: dict[str, str]) -> None:
     """The source's settings must be those a complete change log needs."""
