@@ -127,10 +127,11 @@ def remove(df: DataFrame) -> None:
 
 
 def tasks_for(df: DataFrame, task_bytes: int = TASK_BYTES) -> int:
-    """A number of partitions that grows with the input: the session's, or more if a task would get over ``task_bytes`` by the optimizer's estimate."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(-(-size // task_bytes), 1_000_000) if size < 1 << 60 else least)
+    """A number of partitions that grows with the input: the session's, or more if a task would get over ``task_bytes`` of what the plan scans."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    known = sum(s for s in sizes if s < 1 << 60)  # Spark's word for a size that it doesn't know is a greater one
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // task_bytes))
 
 
 def bound_batches(spark: SparkSession, rows: int = 2000, megabytes: int = 8) -> None:
