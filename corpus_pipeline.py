@@ -78,8 +78,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows are documents of their own.
     """
     tie = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("tie")
-    slim = materialize(docs.select("doc_id", "source", curriculum.word_count(F.col("text")).alias("words"), tie, F.struct(*docs.columns).alias("__whole")), "mixing")
-    mixed = curriculum.mix(slim, size=F.col("words"), tie=F.col("tie"))
+    whole = docs.select("doc_id", "source", curriculum.word_count(F.col("text")).alias("words"), tie, F.struct(*docs.columns).alias("__whole"))
+    mixed = curriculum.mix(whole, size=F.col("words"), tie=F.col("tie"))
     return curriculum.schedule(mixed, ("doc_id", "tie")).select("__whole.*")
 
 
