@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from tidemark.functions import cells
 from tidemark.operators import changes, keys, merge, reconcile, snapshot
 from tidemark.operators.spec import ColumnSpec
+from tidemark.plans import runs  # noqa: F401  its queries are registered as well
 from tidemark.plans.fixtures import DB, LOG_SQL, MOVED_SQL, PAYLOAD, TABLE, WINDOW_SQL, events_with_rows, from_events, log, table, window
+from tidemark.plans.registry import FOUND, SQL, query
 from tidemark.shared import new_path
 from tidemark.sources.config import Progress, State
 from tidemark.streaming.follow import follow
@@ -34,20 +36,10 @@ STATEMENTS = [
     (7, "  truncate t", "shop"),
     (8, "insert into shop.t values (1)", "shop"),
     (9, "rename table shop.a to shop.b", "other"),
+    (10, "\n\tALTER TABLE t drop c", "shop"),
+    (11, "\tDROP\ttable t", "shop"),
+    (12, "altered", "shop"),
 ]
-_FOUND: dict = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        _FOUND[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
 
 LATEST_SQL = "select k, value, props from (select *, row_number() over (partition by k order by pos desc, seq desc) as n from {0}) where n = 1 and op <> 'd'"
 
@@ -293,9 +285,9 @@ def delete_apply(spark, sf_dir):
 _STATEMENTS_SQL = ", ".join(f"({i}, '{s}', '{d}')" for i, s, d in STATEMENTS)
 
 
-@query(f"""select n, upper(split_part(trim(statement), ' ', 1)) in ('CREATE', 'ALTER', 'DROP', 'TRUNCATE', 'RENAME')
+@query(f"""select n, upper(regexp_extract(statement, '^\\s*(\\S+)', 1)) in ('CREATE', 'ALTER', 'DROP', 'TRUNCATE', 'RENAME')
   and (db = 'shop' or contains(lower(statement), '`shop`.') or contains(lower(statement), 'shop.')) as aborts,
-  n in (1, 3, 5, 7, 9) as aborts_strict
+  n in (1, 3, 5, 7, 9, 10, 11) as aborts_strict
   from (values {_STATEMENTS_SQL}) t(n, statement, db)""")
 def ddl_guard(spark, sf_dir):
     rows = spark.createDataFrame(STATEMENTS, "n int, statement string, db string")
@@ -341,7 +333,7 @@ def merge_key_only(spark, sf_dir):
 
 
 def _users(spark) -> merge.VersionedTable:
-    return merge.VersionedTable(spark, new_path(spark, "users"), K, {"value": "double", "props": "string"}, {"k": "long"}, buckets=8)
+    return merge.VersionedTable(spark, new_path(spark, "users"), K, {"value": "double", "props": "string"}, {"k": "long"})
 
 
 @query(f"with {MOVED_SQL} {LATEST_SQL.format('moved')}")
@@ -370,7 +362,7 @@ def _stream(spark, sf_dir: str) -> DataFrame:
 @query(f"with {LOG_SQL} {LATEST_SQL.format('log')}")
 def follow_stream(spark, sf_dir):
     target = _users(spark)
-    follow(_stream(spark, sf_dir), target, new_path(spark, "follow"), available_now=True).awaitTermination()
+    follow(_stream(spark, sf_dir), target.apply, new_path(spark, "follow"), available_now=True).awaitTermination()
     return target.read()
 
 
@@ -407,8 +399,8 @@ def progress_state(spark, sf_dir):
 
 
 def queries() -> dict:
-    return dict(_FOUND)
+    return dict(FOUND)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.change_log import _open
+
 DB, TABLE = "shop", "users"
 PAYLOAD = ["value", "props"]
 
@@ -45,6 +50,23 @@ def events_with_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("pos", "txn", "is_commit", "db", "tbl", kind.alias("kind"), F.array(F.struct(before.alias("before"), after.alias("after"))).alias("changes"))
 
 
+def write_log(events: DataFrame, folder: str) -> None:
+    """Events as a change log: ranges of positions, a file each, by the tasks that hold them."""
+    cells = F.struct("pos", *[c for c in events.columns if c != "pos"])
+    lines = events.select("pos", F.to_json(cells, {"ignoreNullFields": "false"}).alias("line")).repartitionByRange("pos").sortWithinPartitions("pos")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = _open(folder)
+        files.create_dir(base, recursive=True)
+        for batch in batches:
+            if batch.num_rows:
+                with files.open_output_stream(f"{base}/{batch.column(0)[0].as_py():012d}.jsonl") as f:
+                    f.write("\n".join(batch.column(1).to_pylist()).encode())
+                yield batch.select([0])[:1]
+
+    lines.mapInArrow(write, "pos long").collect()  # a row for each file
+
+
 def window(spark: SparkSession, sf_dir: str) -> tuple[int, int, int]:
     """Low mark, time of the snapshot and high mark, in proportion to the length of the log."""
     last = table(spark, sf_dir, "events").agg(F.max("event_id")).head()[0]

@@ -126,10 +126,10 @@ class _Batch(DataSourceReader):
         self.path, self.low, self.high = path, int(options.get("after", "-1")), int(options.get("upto", str(END)))
 
     def partitions(self):
-        return spans(self.path, self.low, self.high) or [None]
+        return spans(self.path, self.low, self.high) or [Span("", 0, 0, False)]  # Spark wants one
 
     def read(self, partition):
-        return iter(()) if partition is None else _batches(self.path, partition)
+        return _batches(self.path, partition) if partition.name else iter(())
 
 
 class _Stream(DataSourceStreamReader):
