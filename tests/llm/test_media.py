@@ -134,7 +134,7 @@ def test_refusals():
 
 
 def test_query(spark, texts, frame_of, tmp_path):
-    frame_of(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    frame_of(texts, n_bytes=1, media="x", payload_bytes=2, feature=3).write.parquet(str(tmp_path / "documents.parquet"))
     got = j.op10_media(spark, str(tmp_path)).collect()
     want = []
     for doc_id, text in texts:
