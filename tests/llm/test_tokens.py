@@ -7,6 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+import regex
 import tiktoken
 import xxhash
 from hypothesis import given, settings
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidemark.llm import token_records, word_bpe
-from tidemark.llm.units import unit_text, units
+from tidemark.llm.units import USUAL, splitter, unit_text, units
 from tidemark.shared import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,6 +27,14 @@ def rank_encoder():
     return tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=word_bpe.read_ranks(RANKS), special_tokens={})
 
 
+@given(st.text(alphabet=st.sampled_from(list("ab'st,.-1 \n")), max_size=20))
+@settings(max_examples=400, deadline=None)
+def test_pieces_are_split_as_the_pattern_does(text):
+    assert public_tokenizers.PATTERN == USUAL
+    split = splitter(USUAL)
+    assert [w for u in units(text) for w in split(u)] == regex.findall(USUAL, text)
+
+
 @given(st.text(alphabet=st.sampled_from(list("ab'st \n\t\x1c  é1!\r世")), max_size=30))
 @settings(max_examples=400, deadline=None)
 def test_units_are_encoded_alone_as_in_the_whole(rank_encoder, text):
@@ -48,9 +57,7 @@ def test_encode_and_decode_equal_the_library(spark, texts, frame_of, rank_encode
 @pytest.mark.parametrize("chars, buckets", [(1, 1), (60, 4), (5000, 2)])
 def test_chunks_of_any_size_give_the_same(spark, texts, rank_encoder, chars, buckets, monkeypatch):
     """Every step of the operator by hand, with several chunks in a task."""
-    import regex
-
-    split, rows = regex.compile(public_tokenizers.PATTERN).findall, []
+    split, rows = splitter(public_tokenizers.PATTERN), []
     held, chunks = [], []
     for k, (doc_id, text) in enumerate(texts):
         held.append((doc_id, k, text))
@@ -73,14 +80,11 @@ def test_chunks_of_any_size_give_the_same(spark, texts, rank_encoder, chars, buc
 
 
 def test_words_are_matches_of_the_pattern():
-    import regex
-
-    split = regex.compile(public_tokenizers.PATTERN).findall
     texts = ["don't stop, it's 12 o'clock!", "well, stop it  now\n\nor é\u4e16界x"]
-    rows = word_bpe.cut_chunk(1, [(1, None, texts[0]), (2, None, texts[1])], 2, split)
+    rows = word_bpe.cut_chunk(1, [(1, None, texts[0]), (2, None, texts[1])], 2, splitter(public_tokenizers.PATTERN))
     words = {w.decode() for r in rows[1:] for w in word_bpe.unpack(r["words"])}
     assert {"don", "'t", " stop", ",", " 12", "clock", "or"} <= words and not {" stop,", " 12 o"} & words
-    assert rows[0]["counts"].tolist()[0] == len(split(texts[0]))
+    assert rows[0]["counts"].tolist()[0] == len(regex.findall(public_tokenizers.PATTERN, texts[0]))
 
 
 def test_empty_tables(spark, frame_of):

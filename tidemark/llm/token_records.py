@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.units import plain, unit_text, units
+from tidemark.llm.units import USUAL, plain, unit_text, units
 from tidemark.shared import bound_batches, new_path, tasks_for
 
 REMEMBER = 600_000
@@ -105,7 +105,7 @@ def encoder(tokenizer_path: str):
     holds_added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
     kind = repr(tokenizer.pre_tokenizer)
     direct = isinstance(tokenizer.pre_tokenizer, ByteLevel) and tokenizer.normalizer is None and "use_regex=True" in kind and "add_prefix_space=False" in kind
-    split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
+    split = regex.compile(USUAL).findall
     letters, tokenize = byte_letters(), tokenizer.model.tokenize
     pack = [struct.pack("<I", i) for i in range(tokenizer.get_vocab_size())]
     gap = letters[32]

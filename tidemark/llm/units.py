@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from string import punctuation
+
+import regex
 
 _ODD = re.compile(r" \s| \Z")
 #: Characters whose class no version of Unicode changes, so that every library splits them alike.
 plain = re.compile(r"[\n -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*\Z").match
 _CUT = re.compile(r" (?=\S)")
 
+#: Fixed value: the usual pattern, whose matches in plain words need no search.
+USUAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 
 def units(text: str) -> list:
     """Pieces of ``text`` that are encoded alone with the same result as in the whole.
@@ -31,3 +38,21 @@ def units(text: str) -> list:
 
 def unit_text(unit) -> str:
     return unit[0] if isinstance(unit, tuple) else " " + unit
+
+
+def splitter(pattern: str) -> Callable[[object], list[str]]:
+    """A function from a piece to the pattern's matches in it; a piece with characters that versions of Unicode class differently stays whole."""
+    findall, usual = regex.compile(pattern).findall, pattern == USUAL
+
+    def split(unit) -> list[str]:
+        text = unit_text(unit)
+        if usual and isinstance(unit, str) and unit.isascii():
+            core = unit.rstrip(punctuation)
+            if core.isalpha():  # a word, and what follows it
+                return [text] if len(core) == len(unit) else [" " + core, unit[len(core) :]]
+        if not plain(text):
+            return [text]
+        found = findall(text)
+        return found if sum(map(len, found)) == len(text) else [text]
+
+    return split

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.units import plain, unit_text, units
+from tidemark.llm.units import splitter, units
 from tidemark.shared import bound_batches, materialize_by, tasks_for
 
 CHUNK_CHARS = 4_000_000
@@ -79,7 +79,7 @@ def unpack(blob: bytes) -> list[bytes]:
 def cut_chunk(chunk: int, rows: list[tuple], buckets: int, split) -> list[dict]:
     """The rows of one chunk of (doc_id, tag, text): its documents as places of words (and each word's bucket), and its words by bucket.
 
-    ``split`` gives the matches of the pattern.  Words are numbered as they are met, so frequent ones have small numbers.
+    ``split`` gives the matches of the pattern in a piece.  Words are numbered as they are met, so frequent ones have small numbers.
     """
     pieces: dict = {}
     places = []
@@ -90,10 +90,7 @@ def cut_chunk(chunk: int, rows: list[tuple], buckets: int, split) -> list[dict]:
     of_piece: list[int] = []
     sizes = np.empty(len(pieces), np.int64)
     for k, unit in enumerate(pieces):
-        text = unit_text(unit)
-        matches = split(text) if plain(text) else [text]
-        if sum(map(len, matches)) != len(text):
-            matches = [text]
+        matches = split(unit)
         of_piece += [words.setdefault(w, len(words)) for w in matches]
         sizes[k] = len(matches)
     # every place of a piece becomes the places of its words
@@ -116,9 +113,7 @@ def cut_chunk(chunk: int, rows: list[tuple], buckets: int, split) -> list[dict]:
 
 def cutter(buckets: int, pattern: str):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        split = regex.compile(pattern).findall
+        split = splitter(pattern)
         part, k, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
