@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
-import uuid
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -381,17 +379,19 @@ def resume_from_pos(spark, sf_dir):
   ('orders', true, 'int:999', 'o_orderkey', false), ('customer', false, null, 'c_custkey', false)) t(tbl, done, last_key, key_columns, all_done)""")
 def progress_state(spark, sf_dir):
     """Progress of four tables, saved and loaded again."""
-    with tempfile.TemporaryDirectory() as folder:
-        state = State(os.path.join(folder, f"{uuid.uuid4().hex}.json"), "log.000003", 4711)
-        state.tables = {
-            "conversations": Progress(["conv_id", "turn"], False, [10, 2]),
-            "documents": Progress(["doc_id", "content_sha256"], True, [7, b"\xca\xfe"]),
-            "orders": Progress(["o_orderkey"], True, [999]),
-            "customer": Progress(["c_custkey"]),
-        }
-        state.save()
-        back = State.load(state.path)
-        raw = json.loads(open(state.path).read())
+    folder = runs.folder(spark, "state")
+    os.makedirs(folder)
+    state = State(os.path.join(folder, "state.json"), "log.000003", 4711)
+    state.tables = {
+        "conversations": Progress(["conv_id", "turn"], False, [10, 2]),
+        "documents": Progress(["doc_id", "content_sha256"], True, [7, b"\xca\xfe"]),
+        "orders": Progress(["o_orderkey"], True, [999]),
+        "customer": Progress(["c_custkey"]),
+    }
+    state.save()
+    back = State.load(state.path)
+    with open(state.path) as f:
+        raw = json.load(f)
     assert (back.log_file, back.log_pos, back.tables) == (state.log_file, state.log_pos, state.tables)
     done = all(p.done for p in back.tables.values())
     rows = [(n, t["done"], None if t["last_key"] is None else "|".join(":".join(p) for p in t["last_key"]), ",".join(t["key_columns"]), done) for n, t in raw["tables"].items()]
