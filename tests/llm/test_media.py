@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import jpeg_media as j
+from tidemark.shared import materialize
 
 
 def brute_dc(image):
@@ -144,4 +145,8 @@ def test_query(spark, texts, frame_of, tmp_path):
     key = lambda r: (r[0] is None, r)
     assert sorted((tuple(r)[:5] for r in got), key=key) == sorted(want, key=key)
     assert len({(r.payload_sha256, r.n_bytes) for r in got}) == len({(r.media_sha256, r.media_bytes, r.feature, r.n_bytes) for r in got})
+    # the same from files that lie in a table
+    written = materialize(j.media_column(spark.read.parquet(str(tmp_path / "documents.parquet"))), "media")
+    again = j.media_features(written).select(got[0].__fields__[:-2] + ["width", "height"]).collect()
+    assert sorted(map(tuple, again), key=key) == sorted(map(tuple, got), key=key)
     assert j.media_features(j.media_column(frame_of([]))).collect() == []

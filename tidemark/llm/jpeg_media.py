@@ -15,8 +15,12 @@ payloads are several images, one after the other.
 Edge cases: null and empty texts are a payload of 64 zero bytes; texts of any
 length are encoded in slices of ``SLICE`` bytes; equal texts have equal files;
 repeated rows give a row each; an empty table gives an empty table; other columns,
-whatever their names, are not read.  The query writes the files as a column of a table
-and reads them from there.
+whatever their names, are not read.
+
+What is stored is the JPEG file, a cell of the column ``media``; it is read back by parsing
+that cell's bytes, which know nothing of the text.  ``media_column`` may be written as a
+table and ``media_features`` read it; the query hands the column on without that, as the
+files of a text take more room than the text.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.shared import bound_batches, materialize
+from tidemark.shared import bound_batches
 
 ROW = 64  # payload bytes, and blocks, in a row
 MAX_ROWS = 8191  # 8 * 8,191 is the greatest height below 65,536 that is a multiple of 8
@@ -453,5 +457,4 @@ def media_features(media: DataFrame) -> DataFrame:
 def op10_media(spark, sf_dir: str) -> DataFrame:
     """Every document stored as JPEG and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long"), "text")
-    stored = materialize(media_column(docs), "media", codec="uncompressed")
-    return media_features(stored).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
+    return media_features(media_column(docs)).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
