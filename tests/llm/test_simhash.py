@@ -3,7 +3,9 @@ import random
 import numpy as np
 import xxhash
 
+from tidemark.llm import components
 from tidemark.llm import simhash_trie as s
+from tidemark.shared import materialize
 
 
 def brute_fingerprint(text):
@@ -82,3 +84,15 @@ def test_documents(spark, texts, frame_of):
 
 def test_empty(spark, frame_of):
     assert s.link_documents(frame_of([])).collect() == []
+
+
+def test_hubs_are_joined_apart(spark, monkeypatch):
+    """A star of many links and chains give the same components, and the rows of hubs the same join."""
+    monkeypatch.setattr(components, "HUB", 3)
+    edges = [(100 + i, 7) for i in range(20)] + [(i + 1, i) for i in range(200, 210)] + [(105, 300), (300, 301)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    got = {r.a: r.b for r in components.connected(materialize(frame, "edges")).collect()}
+    assert got == {**{100 + i: 7 for i in range(20)}, 300: 7, 301: 7, **{i: 200 for i in range(201, 211)}}
+    table = spark.createDataFrame([(7, "seven"), (200, "two"), (5, "none")], "b long, name string")
+    plain = sorted(map(tuple, frame.join(table, "b").select("a", "b", "name").collect()))
+    assert sorted(map(tuple, components.attach(frame, table, "b").collect())) == plain and len(plain) == 21

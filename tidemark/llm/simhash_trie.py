@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.components import connected, local_roots
+from tidemark.llm.components import attach, connected, local_roots
 from tidemark.shared import bound_batches, materialize
 
 SEED = 42
@@ -184,8 +184,8 @@ def link_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     roots = connected(materialize(links(nodes.select("fp")), "simhash-links"))
     placed = materialize(nodes.join(roots.select(F.col("a").alias("fp"), "b"), "fp", "left").withColumn("root", F.coalesce("b", "fp")).drop("b"), "simhash-nodes")
     components = placed.groupBy("root").agg(F.min("least").alias("best"))
-    of = placed.select("fp", "root").join(components, "root").select("fp", F.col("best.doc").alias("component_id"), F.col("best.row").alias("best_row"))
-    joined = base.join(of, "fp").withColumn("first", F.col("__row") == F.col("best_row"))
+    of = attach(placed.select("fp", "root"), components, "root").select("fp", F.col("best.doc").alias("component_id"), F.col("best.row").alias("best_row"))
+    joined = attach(base, materialize(of, "simhash-components"), "fp").withColumn("first", F.col("__row") == F.col("best_row"))
     return joined.select(F.col("__doc").alias("doc_id"), *[c for c in base.columns if c not in ("__doc", "__row", "fp")], "fp", "component_id", "first")
 
 
