@@ -2,10 +2,8 @@ import random
 import re
 from hashlib import sha256
 
-import numpy as np
 import public_tokenizers
 import tiktoken
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_simhash import brute_components, brute_fingerprint
