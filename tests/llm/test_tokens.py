@@ -12,6 +12,7 @@ import tiktoken
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import token_records, word_bpe
@@ -79,6 +80,16 @@ def test_chunks_of_any_size_give_the_same(spark, texts, rank_encoder, chars, buc
     assert [(r["doc_id"], r["place"], r["ids"]) for r in got] == [(d, k, np.array(w, "<u4").tobytes()) for k, ((d, _), w) in enumerate(zip(texts, want, strict=True))]
 
 
+def test_runs_of_places(spark, texts, frame_of, rank_encoder):
+    """Rows in any order come back by place; a run ends where places jump and where a task ends."""
+    docs = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(texts)], "doc_id long, text string, at long").repartition(3, "text")
+    got = word_bpe.encode_in_order(docs, RANKS, public_tokenizers.PATTERN, F.col("at"), len(texts)).collect()
+    assert [(r.place, r.doc_id, r.tokens) for r in got] == [(k, d, rank_encoder.encode_ordinary(t or "")) for k, (d, t) in enumerate(texts)]
+    assert all(r.decoded_sha256 == sha256((t or "").encode()).hexdigest() and r.n_tokens == len(r.tokens) and r.ids_sha256 == sha256(" ".join(map(str, r.tokens)).encode()).hexdigest() for r, (_, t) in zip(got, texts, strict=True))
+    rows = pa.table({"doc_id": [5, 6, 7, 8], "place": [2, 3, 4, 9], "n_tokens": [1, 0, 2, 1], "tokens": [[1], [], [2, 3], [4]], "ids_sha256": ["aa" * 32] * 4, "decoded_sha256": ["bb" * 32] * 4})
+    assert [(r["task"], r["first"], r["counts"]) for r in word_bpe.runs_of(rows, 3, 12).to_pylist()] == [(0, 2, [1, 0]), (1, 4, [2]), (2, 9, [1])]
+
+
 def test_words_are_matches_of_the_pattern():
     texts = ["don't stop, it's 12 o'clock!", "well, stop it  now\n\nor é\u4e16界x"]
     rows = word_bpe.cut_chunk(1, [(1, None, texts[0]), (2, None, texts[1])], 2, splitter(public_tokenizers.PATTERN))

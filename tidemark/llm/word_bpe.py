@@ -209,18 +209,74 @@ def assembler(ranks_path: str, columns: list[str]):
     return assemble
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, columns=("doc_id", "n_tokens", "ids"), buckets: int | None = None, place: Column | None = None) -> DataFrame:
-    """One row per document with the asked columns: doc_id, n_tokens, ids (little-endian unsigned 32-bit), tokens (the same as a list), decoded, ids_sha256, decoded_sha256, and place, the long that is given for it."""
+def _met(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None, place: Column | None):
+    """Chunks of documents and the ids of their words, grouped by chunk."""
     bound_batches(docs.sparkSession)
     buckets = buckets or tasks_for(docs)
     slim = docs.select(F.col("doc_id").cast("long"), (F.lit(None) if place is None else place).cast("long").alias("tag"), F.col("text").cast("string"))
     chunks = materialize_by(slim.mapInArrow(cutter(buckets, pattern), CHUNK_DDL), "bpe-chunks", "chunk", buckets)
     words = chunks.where("bucket is not null").select("chunk", "bucket", "words").repartition("bucket").sortWithinPartitions("bucket")
     ids = words.mapInArrow(word_encoder(ranks_path, pattern), IDS_DDL)
-    columns = list(dict.fromkeys(["doc_id", "n_tokens", *columns]))
-    kinds = {"doc_id": "long", "place": "long", "n_tokens": "long", "ids": "binary", "tokens": "array<int>", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "binary"}
     held = chunks.where("bucket is null").select("chunk", "doc_ids", "tags", "counts", "places", "owners")
-    return held.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(assembler(ranks_path, columns), ", ".join(f"{c} {kinds[c]}" for c in columns))
+    return held.groupBy("chunk").cogroup(ids.groupBy("chunk"))
+
+
+_KINDS = {"doc_id": "long", "place": "long", "n_tokens": "long", "ids": "binary", "tokens": "array<int>", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "binary"}
+
+
+def _ddl(columns: list[str]) -> str:
+    return ", ".join(f"{c} {_KINDS[c]}" for c in columns)
+
+
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, columns=("doc_id", "n_tokens", "ids"), buckets: int | None = None, place: Column | None = None) -> DataFrame:
+    """One row per document with the asked columns: doc_id, n_tokens, ids (little-endian unsigned 32-bit), tokens (the same as a list), decoded, ids_sha256, decoded_sha256, and place, the long that is given for it."""
+    columns = list(dict.fromkeys(["doc_id", "n_tokens", *columns]))
+    return _met(docs, ranks_path, pattern, buckets, place).applyInArrow(assembler(ranks_path, columns), _ddl(columns))
+
+
+_ORDERED = ["doc_id", "place", "n_tokens", "tokens", "ids_sha256", "decoded_sha256"]
+_RUN = pa.schema([("task", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("ids", pa.binary()), ("digests", pa.binary())])
+
+
+def runs_of(rows: pa.Table, tasks: int, total: int) -> pa.Table:
+    """Rows of consecutive places that go to one task, as one row with their ids compressed."""
+    place = rows.column("place").to_numpy()
+    task = place * tasks // total
+    edges = np.flatnonzero((np.diff(place) != 1) | (np.diff(task) != 0)) + 1
+    doc_ids, counts = rows.column("doc_id").to_pylist(), rows.column("n_tokens").to_pylist()
+    tokens = rows.column("tokens").combine_chunks()
+    flat, offsets = tokens.values.to_numpy(), tokens.offsets.to_numpy()
+    digests = [bytes.fromhex(x + y) for x, y in zip(rows.column("ids_sha256").to_pylist(), rows.column("decoded_sha256").to_pylist(), strict=True)]
+    out = []
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(place)], strict=True):
+        if a < b:
+            out.append({"task": int(task[a]), "first": int(place[a]), "doc_ids": doc_ids[a:b], "counts": counts[a:b], "ids": squeeze(flat[offsets[a] : offsets[b]]), "digests": b"".join(digests[a:b])})
+    return pa.Table.from_pylist(out, _RUN)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([_OUT.field(c) for c in _ORDERED])
+    for batch in batches:
+        for run in batch.to_pylist():
+            ends = np.cumsum([0, *run["counts"]])
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(expand(run["ids"]).astype(np.int32)))
+            digests = [run["digests"][k : k + 32].hex() for k in range(0, len(run["digests"]), 32)]
+            places = pa.array(np.arange(run["first"], run["first"] + len(run["counts"])))
+            yield pa.RecordBatch.from_arrays([pa.array(run["doc_ids"], pa.int64()), places, pa.array(run["counts"], pa.int64()), tokens, pa.array(digests[::2]), pa.array(digests[1::2])], schema=schema)
+
+
+def encode_in_order(docs: DataFrame, ranks_path: str, pattern: str, place: Column, total: int) -> DataFrame:
+    """doc_id, place, n_tokens, tokens and both digests of every document, sorted by ``place``: numbers from 0 to below ``total``.
+
+    Ids are compressed on the way, a run of consecutive places at a time, as sorting lists of tokens would move more than the texts.
+    """
+    tasks, assemble = tasks_for(docs), assembler(ranks_path, _ORDERED)
+
+    def packed(left: pa.Table, right: pa.Table) -> pa.Table:
+        return runs_of(assemble(left, right), tasks, total)
+
+    runs = _met(docs, ranks_path, pattern, None, place).applyInArrow(packed, "task int, first long, doc_ids array<long>, counts array<long>, ids binary, digests binary")
+    return runs.repartitionById(tasks, F.col("task")).sortWithinPartitions("first").mapInArrow(_unpack, _ddl(_ORDERED))
 
 
 def op8_byte_bpe(spark, sf_dir: str, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
