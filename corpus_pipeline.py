@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import curriculum, quality_mil, simhash_trie, suffix_dedup, word_bpe
-from tidemark.shared import clean, made, materialize, tasks_for
+from tidemark.shared import clean, made, materialize
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -104,10 +104,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    placed, tasks = in_file_order(docs), tasks_for(docs)
-    found = word_bpe.encode_documents(placed, ranks, public_tokenizers.PATTERN, ["doc_id", "place", "n_tokens", "tokens", "ids_sha256", "decoded_sha256"], place=F.col("__place"))
-    share = F.floor(F.col("place") * tasks / max(docs.count(), 1)).cast("int")
-    return found.repartitionById(tasks, share).sortWithinPartitions("place")
+    return word_bpe.encode_in_order(in_file_order(docs), ranks, public_tokenizers.PATTERN, F.col("__place"), max(docs.count(), 1))
 
 
 STAGES = [
