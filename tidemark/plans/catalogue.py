@@ -127,6 +127,12 @@ def bit_to_int(spark, sf_dir):
 _SIGNED = {"tinyint": (8, "byte"), "smallint": (16, "short"), "mediumint": (24, "int"), "int": (32, "int")}
 
 
+def _low_64(whole):
+    """The low 64 bits of a decimal as a signed integer: what a column of that width holds."""
+    low = F.pmod(whole, F.lit(Decimal(1 << 64)))
+    return F.when(low >= Decimal(1 << 63), low - Decimal(1 << 64)).otherwise(low).cast("long")
+
+
 @query("""select o_orderkey, case when t < 0 then t + 256 else t end as u_tinyint, case when s < 0 then s + 65536 else s end as u_smallint,
   case when m < 0 then m + 16777216 else m end as u_mediumint, case when i < 0 then i + 4294967296 else i end as u_int,
   case when b < 0 then (b::hugeint + 18446744073709551616)::varchar else b::varchar end as u_bigint
@@ -139,7 +145,8 @@ def unsigned_from_log(spark, sf_dir):
     for name, (bits, kind) in _SIGNED.items():
         signed = (source[name] % (1 << bits) - (1 << (bits - 1))).cast(kind)
         out.append(cells.signedness(signed, ColumnSpec("c", "plain", name, True)).alias(f"u_{name}"))
-    big = cells.signedness((k - 500) * 600_000_000_000_000, ColumnSpec("c", "plain", "bigint", True))
+    wide = (k.cast("decimal(20,0)") - 500) * Decimal(600_000_000_000_000)  # beyond 64 bits from key 15,873 on
+    big = cells.signedness(_low_64(wide), ColumnSpec("c", "plain", "bigint", True))
     return table(spark, sf_dir, "orders").select("o_orderkey", *out, big.cast("string").alias("u_bigint"))
 
 
