@@ -6,7 +6,7 @@ import contextlib
 import json
 import os
 import uuid
-from dataclasses import asdict
+from dataclasses import asdict, replace
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import changes, reconcile, rows
 from tidemark.operators.spec import REQUIRED_SETTINGS, SpecError, TableSpec, check_keys, check_settings, quote_source, quote_target, type_members
+from tidemark.operators.snapshot import assign_chunks
 from tidemark.plans.fixtures import DB, MOVED_SQL, PAYLOAD, TABLE, events_with_rows, table, window, write_log
 from tidemark.plans.registry import query
-from tidemark.shared import materialize, new_path
+from tidemark.shared import clean, made, materialize, new_path
 from tidemark.sources import change_log, database
 from tidemark.sources.config import Database, load_dotenv, parse_config
 from tidemark.streaming import run
@@ -319,9 +320,16 @@ class _Source:
             *(f"INSERT INTO INFORMATION_SCHEMA.COLUMNS VALUES ('{DB}', 'customer', '{n}', '{t}', NULL, '{null}', '{t}', {i})" for i, (n, t, null) in enumerate(about)),
         )
         self.options = database.options(self.database)
-        table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long"), "c_name", F.col("c_acctbal").cast("decimal(14,2)").alias("c_acctbal")).write.format("jdbc").options(dbtable='"customer"', **self.options).mode("append").save()
+        customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long"), "c_name", F.col("c_acctbal").cast("decimal(14,2)").alias("c_acctbal"))
+        database.write_table(customers, "customer", **self.options)
         os.makedirs(log)
 
+    def close(self) -> None:
+        """Let go of the database, which lives in memory."""
+        self.connection.close()
+        with contextlib.suppress(Exception):  # that it is gone comes as an error
+            database.Connection(self.spark, replace(self.database, url=self.database.url.replace("create=true", "drop=true")))
+
     def event(self, **about) -> None:
         self.pos += 1
         with open(f"{self.log}/{self.pos:012d}.jsonl", "w") as f:
@@ -334,20 +342,34 @@ class _Source:
                 self.seen.add(r[0])
                 self.event(tbl="marks", kind="mark", mark_id=r[0])
         if len(self.seen) == 1 and self.pos == 1:
-            changed = database.read_table(self.spark, table='"customer"', **self.options).where("c_custkey % 10 = 0").collect()
-            self.connection.execute('UPDATE "customer" SET "c_acctbal" = "c_acctbal" + 1 WHERE MOD("c_custkey", 10) = 0')
-            sides = [({"c_custkey": r[0], "c_name": r[1], "c_acctbal": str(r[2])}, {"c_custkey": r[0], "c_name": r[1], "c_acctbal": str(r[2] + 1)}) for r in changed]
-            self.event(tbl="customer", kind="update", changes=[{"before": b, "after": a} for b, a in sides])
+            self.change()
+
+    def change(self) -> None:
+        """A transaction on every tenth row; an event of the log has 1,000 changes at most."""
+        rows = database.read_table(self.spark, table='"customer"', **self.options).where("c_custkey % 10 = 0")
+        held = assign_chunks(rows, ("c_custkey",), 1000, carry=("c_name", "c_acctbal"))
+        self.connection.execute('UPDATE "customer" SET "c_acctbal" = "c_acctbal" + 1 WHERE MOD("c_custkey", 10) = 0')
+        last = held.agg(F.max("chunk_id")).head()[0]
+        if last is not None:
+            side = lambda balance: F.struct("c_custkey", "c_name", balance.cast("string").alias("c_acctbal"))
+            change = F.struct(side(F.col("c_acctbal")).alias("before"), side(F.col("c_acctbal") + 1).alias("after"))
+            events = held.groupBy("chunk_id").agg(F.collect_list(change).alias("changes"))
+            about = [F.lit(DB).alias("db"), F.lit("customer").alias("tbl"), F.lit("update").alias("kind"), (F.col("chunk_id") == last).alias("is_commit"), "changes"]
+            write_log(events.select((F.col("chunk_id") + self.pos + 1).alias("pos"), *about), self.log)
+            self.pos += last + 1
 
 
 @query("select c_custkey, c_name, (c_acctbal::decimal(14,2) + case when c_custkey % 10 = 0 then 1 else 0 end)::varchar as c_acctbal from customer")
 def replicated_database(spark, sf_dir):
     """From database to database: settings, catalogue, marks, chunks by key, a staging table, and changes between the marks."""
-    path = folder(spark, "database")
+    before, path = made(), folder(spark, "database")
     source = _Source(spark, sf_dir, f"{path}/log")
     n = table(spark, sf_dir, "customer").count()
     config = parse_config({"mysql": source.about, "postgres": source.about, "chunk_size": n // 2 + 1, "watermark_table": "marks", "tables": [{"mysql_table": "customer", "pg_table": "copied", "key_columns": ["c_custkey"]}]})
     run.replicate(spark, path, config, once=True, source=run.DatabaseSource(spark, path, config, sleep=source.go_on, clock=lambda: source.now))
     key = table(spark, sf_dir, "customer").schema["c_custkey"].dataType
     copied = database.read_table(spark, table='"copied"', **source.options)
-    return materialize(copied.select(F.col("c_custkey").cast(key).alias("c_custkey"), "c_name", F.col("c_acctbal").cast("string").alias("c_acctbal")), "copied")
+    found = materialize(copied.select(F.col("c_custkey").cast(key).alias("c_custkey"), "c_name", F.col("c_acctbal").cast("string").alias("c_acctbal")), "copied")
+    source.close()
+    clean(spark, before, but=(found,))
+    return found

@@ -35,11 +35,16 @@ def _local_folder() -> str:
     return f"file://{folder}"
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether tasks run in the driver's own process."""
+    return spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Return the shared folder, and make it Spark's checkpoint folder as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = _local_folder()
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

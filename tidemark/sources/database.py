@@ -1,17 +1,23 @@
 """Databases through JDBC: reads and bulk writes are Spark's, single statements go over one connection of the driver.
 
-The driver class must be on Spark's class path.
+The driver class must be on Spark's class path.  An embedded database lives in the driver's JVM, which
+executors of a cluster can't reach; its rows go there and back as files in the shared folder.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.reconcile import latest
 from tidemark.operators.spec import REQUIRED_SETTINGS, SpecError, TableSpec, check_settings, quote_source, quote_target
+from tidemark.shared import is_local, new_path
 from tidemark.sources.config import Database
 
 #: Rows to a statement when writing to a database.
@@ -29,11 +35,73 @@ def options(database: Database) -> dict[str, str]:
 def read_table(spark: SparkSession, url: str, table: str, skip: tuple[str, ...] = (), **more: str) -> DataFrame:
     """A table as a DataFrame; keyset predicates on it run in the database.  Skipped columns are not read."""
     df = spark.read.format("jdbc").options(url=url, dbtable=table, **more).load()
+    if _out_of_reach(spark, url):
+        df = _exported(spark, f"SELECT * FROM {table}", df.schema, url=url, **more)
     return df.drop(*skip)
 
 
 def read_query(spark: SparkSession, query: str, **more: str) -> DataFrame:
-    return spark.read.format("jdbc").options(query=query, **more).load()
+    df = spark.read.format("jdbc").options(query=query, **more).load()
+    return _exported(spark, query, df.schema, **more) if _out_of_reach(spark, more["url"]) else df
+
+
+def write_table(df: DataFrame, table: str, **about: str) -> None:
+    """Append rows that have all columns of the table, in pages, by Spark's tasks."""
+    if _out_of_reach(df.sparkSession, about["url"]):
+        _import(df, table, **about)
+    else:
+        df.write.format("jdbc").options(dbtable=quote_target(table), batchsize=str(PAGE), **about).mode("append").save()
+
+
+def _out_of_reach(spark: SparkSession, url: str) -> bool:
+    """Whether tasks can't connect: the database is embedded in the driver's JVM, and they run in others."""
+    return url.startswith("jdbc:derby:") and not url.startswith("jdbc:derby://") and not is_local(spark)
+
+
+def _file_for(spark: SparkSession, name: str) -> str:
+    path = new_path(spark, name).removeprefix("file://")
+    if "://" in path:
+        raise SpecError(f"an embedded database writes and reads files of a local folder, not {path}")
+    return path
+
+
+def _exported(spark: SparkSession, query: str, schema: T.StructType, **about: str) -> DataFrame:
+    """Rows of a query by a file that the embedded database writes."""
+    path = _file_for(spark, "exported")
+    _call(spark, about, "SYSCS_EXPORT_QUERY(?, ?, NULL, NULL, 'UTF-8')", query, path)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    null = uuid.uuid4().hex  # read for a cell without quotes and text, as an empty text has quotes
+    rows = spark.read.schema(text).csv(path, quote='"', escape='"', nullValue=null, emptyValue="", multiLine=True, mode="FAILFAST", maxCharsPerColumn=-1)
+    cells = [F.unhex(rows[f.name]) if isinstance(f.dataType, T.BinaryType) else rows[f.name].cast(f.dataType) for f in schema]
+    return rows.select(*[c.alias(f.name) for c, f in zip(cells, schema, strict=True)])
+
+
+def _import(df: DataFrame, table: str, **about: str) -> None:
+    """Append rows by files that the embedded database reads; all cells but nulls are quoted."""
+    spark, path = df.sparkSession, _file_for(df.sparkSession, "imported")
+    schema, _, name = table.rpartition(".")
+
+    def cell(column: str):
+        c = F.hex(df[column]) if isinstance(df.schema[column].dataType, T.BinaryType) else df[column].cast("string")
+        return F.coalesce(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+
+    columns = spark.read.format("jdbc").options(dbtable=quote_target(table), **about).load().columns
+    df.select(F.concat_ws(",", *map(cell, columns))).write.text(path)
+    for file in sorted(os.listdir(path)):
+        if file.startswith("part-") and os.path.getsize(f"{path}/{file}"):
+            _call(spark, about, "SYSCS_IMPORT_DATA(?, ?, NULL, NULL, ?, NULL, NULL, 'UTF-8', 0)", schema or None, name, f"{path}/{file}")
+
+
+def _call(spark: SparkSession, about: dict[str, str], procedure: str, *arguments: str | None) -> None:
+    held = _connect(spark, **about)
+    try:
+        call = held.prepareCall(f"CALL SYSCS_UTIL.{procedure}")
+        for i, x in enumerate(arguments, 1):
+            call.setString(i, x)
+        call.execute()
+        call.close()
+    finally:
+        held.close()
 
 
 def single_row(df: DataFrame) -> dict | None:
@@ -87,18 +155,22 @@ def chunk_query(spec: TableSpec, last: list | None, size: int, url: str) -> str:
     return f"SELECT {', '.join(name(c.name) for c in spec.kept())} FROM {name(spec.source)}{behind} ORDER BY {', '.join(name(k) for k in spec.keys)} {rows}"
 
 
+def _connect(spark: SparkSession, url: str, user: str, password: str, driver: str | None = None):
+    """A JDBC connection in the driver's JVM."""
+    jvm = spark.sparkContext._jvm
+    about = jvm.java.util.Properties()
+    for k, v in (("user", user), ("password", password)):
+        about.setProperty(k, v)
+    if driver:
+        return jvm.java.lang.Class.forName(driver).getDeclaredConstructor(None).newInstance(None).connect(url, about)
+    return jvm.java.sql.DriverManager.getConnection(url, about)
+
+
 class Connection:
     """One JDBC connection of the driver."""
 
     def __init__(self, spark: SparkSession, database: Database) -> None:
-        jvm = spark.sparkContext._jvm
-        about = jvm.java.util.Properties()
-        for k, v in (("user", database.user), ("password", database.password())):
-            about.setProperty(k, v)
-        if database.driver:
-            self._held = jvm.java.lang.Class.forName(database.driver).getDeclaredConstructor(None).newInstance(None).connect(database.url, about)
-        else:
-            self._held = jvm.java.sql.DriverManager.getConnection(database.url, about)
+        self._held = _connect(spark, **options(database))
 
     def execute(self, *statements: str) -> None:
         """All statements in one transaction."""
@@ -179,8 +251,14 @@ class DatabaseTarget:
         folded = folded.select(*sorted(folded.columns))
         self._renew()
         op = "op" if self.postgres else "OP"  # what an unquoted name is at home
-        folded.withColumnRenamed("op", op).write.format("jdbc").options(dbtable=quote_target(self.staging), batchsize=str(PAGE), **options(self.database)).mode("append").save()
-        self.connection.execute(*merge_sql(self.spec, self.staging, self.postgres), f"DROP TABLE {quote_target(self.staging)}")
+        write_table(folded.withColumnRenamed("op", op), self.staging, **options(self.database))
+        self.connection.execute(*self._index(), *merge_sql(self.spec, self.staging, self.postgres), f"DROP TABLE {quote_target(self.staging)}")
+
+    def _index(self) -> list[str]:
+        """Where the planner has no hash join for what the merge asks, each row of the target looks its key up."""
+        if self.postgres:
+            return []
+        return [f"CREATE INDEX {quote_target(f'{self.staging}__keys')} ON {quote_target(self.staging)} ({', '.join(map(quote_target, self.spec.keys))})"]
 
     def read(self) -> DataFrame:
         return read_table(self.spark, table=quote_target(self.spec.target), **options(self.database))
